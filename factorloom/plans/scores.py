@@ -30,11 +30,20 @@ PILLAR_MESSAGES = {"qmj_profitability_score": "Missing Profitability Score",
                    "qmj_safety_score": "Missing Safety Score"}
 
 
+# Digits of summed scores that count for ranking.
+SUM_DIGITS = 10
+
+
 def _sum(columns: Sequence[str]):
+    """Sum of scores, NULL when any is missing.
+
+    A cluster adds up means and deviations in no fixed order, so the last bits of a score
+    differ between runs.  Rounding lets sums that are equal tie, on every run.
+    """
     total = F.col(columns[0])
     for c in columns[1:]:
         total = total + F.col(c)
-    return total
+    return F.round(total, SUM_DIGITS)
 
 
 def score_components(raw: DataFrame, pillar: str, max_group: int = MAX_GROUP) -> DataFrame:

@@ -8,12 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Dates and times are UTC; call-site capture per column expression is left out because the
-# models build thousands of expressions.
-RUNTIME_SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
-}
+# Settings results depend on.
+RUNTIME_SETTINGS = {"spark.sql.session.timeZone": "UTC"}
 
 
 def build_session(app: str = "factorloom", master: str | None = None, **conf) -> SparkSession:
@@ -28,6 +24,8 @@ def build_session(app: str = "factorloom", master: str | None = None, **conf) ->
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # Call-site capture per column expression slows wide models down.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **RUNTIME_SETTINGS,
         **conf,
     }

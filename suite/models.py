@@ -86,7 +86,7 @@ class Models:
         return self._once("vol", lambda: factors.beta_vol(self.quotes(), CTX))
 
     def beta_bab(self) -> DataFrame:
-        return self._once("bab", lambda: factors.beta_bab(self.beta_vol()))
+        return self._once("bab", lambda: factors.beta_bab(self.beta_vol()), True)
 
     def safety(self) -> DataFrame:
         return self._once("safety", lambda: factors.safety(
@@ -98,7 +98,7 @@ class Models:
 
     def components(self, pillar: str) -> DataFrame:
         return self._once(f"sc_{pillar}", lambda: scores.score_components(
-            self.raw(pillar), pillar))
+            self.raw(pillar), pillar), True)
 
     def pillar(self, pillar: str) -> DataFrame:
         return self._once(f"pl_{pillar}", lambda: scores.pillar_score(
@@ -106,7 +106,7 @@ class Models:
 
     def qmj(self) -> DataFrame:
         return self._once("qmj", lambda: scores.qmj_final(
-            self.pillar("profitability"), self.pillar("growth"), self.pillar("safety")))
+            self.pillar("profitability"), self.pillar("growth"), self.pillar("safety")), True)
 
     def value_hist(self) -> DataFrame:
         return self._once("val", lambda: factors.value_hist(self.ttm(), CTX))
@@ -133,3 +133,19 @@ class Models:
         return self._once("obt", lambda: serving.obt_web(
             self.qmj(), self.value_momentum(), self.value_momentum_live(), self.dim_company(),
             self.fundamental_quarter()))
+
+
+_HELD: dict[tuple[str, str], Models] = {}
+
+
+def models(spark: SparkSession, sf_dir: str) -> Models:
+    """The model chain of one application and folder: later queries read stored tables."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _HELD:
+        _HELD[key] = Models(spark, sf_dir)
+    return _HELD[key]
+
+
+def forget() -> None:
+    """Let the next query build every model again, as a measurement needs it."""
+    _HELD.clear()

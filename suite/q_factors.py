@@ -9,7 +9,7 @@ from factorloom.operators import topk
 from factorloom.plans import serving
 from factorloom.plans.panel import POINT_IN_TIME, QUARTER, TTM_MEASURES
 from suite import inputs_sql as x
-from suite.models import Models
+from suite.models import Models, models
 from suite.registry import query, r, rounded, rs
 
 KEY = "ticker, year, quarter, CAST(absolute_quarter AS BIGINT) AS absolute_quarter"
@@ -23,7 +23,7 @@ def _score_query(name: str, table: str, columns: tuple[str, ...], build, key: st
     oracle = f"SELECT {key}, {rs(*columns, digits=digits)}, {JUDGED} FROM {table}"
 
     def run(spark, sf_dir):
-        df = build(Models(spark, sf_dir))
+        df = build(models(spark, sf_dir))
         return rounded(df.select(*QUARTER, *columns, "status", "unqualified_reason"), *columns,
                        digits=digits)
 
@@ -37,7 +37,7 @@ _PANEL = ("gross_revenue", "net_income_parent", "total_assets", "minority_intere
 @query("financial_panel", f"SELECT ticker, year, quarter, {rs(*_PANEL, digits=4)}, {JUDGED}"
                           " FROM x_panel")
 def financial_panel(spark, sf_dir):
-    df = Models(spark, sf_dir).panel()
+    df = models(spark, sf_dir).panel()
     return rounded(df.select("ticker", "year", "quarter", *_PANEL, "status",
                              "unqualified_reason"), *_PANEL, digits=4)
 
@@ -49,7 +49,7 @@ _SUMS = tuple(f"{m}_ttm" for m in TTM_MEASURES)
     {rs('risk_free_rate', 'cpi_index')}, CAST(quarter_gap AS BIGINT) AS quarter_gap, ttm_status
     FROM x_ttm""")
 def ttm_metrics(spark, sf_dir):
-    df = rounded(Models(spark, sf_dir).ttm(), *_SUMS, *POINT_IN_TIME, digits=4)
+    df = rounded(models(spark, sf_dir).ttm(), *_SUMS, *POINT_IN_TIME, digits=4)
     return rounded(df, "risk_free_rate", "cpi_index")
 
 
@@ -81,7 +81,7 @@ _VOL = ("stock_ret", "mkt_ret", "vol_stock_1y", "vol_mkt_1y")
 
 @query("beta_vol", f"SELECT ticker, date, {rs(*_VOL)}, count_trading_days, {JUDGED} FROM x_vol")
 def beta_vol(spark, sf_dir):
-    df = Models(spark, sf_dir).beta_vol()
+    df = models(spark, sf_dir).beta_vol()
     return rounded(df.select("ticker", "date", *_VOL, "count_trading_days", "status",
                              "unqualified_reason"), *_VOL)
 
@@ -93,7 +93,7 @@ def beta_vol(spark, sf_dir):
     {rs('market_cap', 'latest_book_equity', digits=2)}, {rs('value_recent_score', digits=12)},
     {JUDGED} FROM x_valr""")
 def value_recent(spark, sf_dir):
-    df = Models(spark, sf_dir).value_recent().drop("last_market_cap_update")
+    df = models(spark, sf_dir).value_recent().drop("last_market_cap_update")
     df = rounded(df, "market_cap", "latest_book_equity", digits=2)
     return rounded(df, "value_recent_score", digits=12)
 
@@ -102,14 +102,14 @@ def value_recent(spark, sf_dir):
     CAST(days_since_last_trade AS INT) AS days_since_last_trade, date_t_21, date_t_252,
     {rs('price_t_21', 'price_t_252', 'momentum_recent')}, {JUDGED} FROM x_momr""")
 def momentum_recent(spark, sf_dir):
-    return rounded(Models(spark, sf_dir).momentum_recent(), "price_t_21", "price_t_252",
+    return rounded(models(spark, sf_dir).momentum_recent(), "price_t_21", "price_t_252",
                    "momentum_recent")
 
 
 @query("value_momentum_z_live", f"""SELECT ticker, {rs('value_recent_score', digits=12)},
     {rs('momentum_recent', 'z_value_recent', 'z_momentum_recent')}, {JUDGED} FROM x_vml""")
 def value_momentum_z_live(spark, sf_dir):
-    df = rounded(Models(spark, sf_dir).value_momentum_live(), "momentum_recent",
+    df = rounded(models(spark, sf_dir).value_momentum_live(), "momentum_recent",
                  "z_value_recent", "z_momentum_recent")
     return rounded(df, "value_recent_score", digits=12)
 
@@ -123,10 +123,10 @@ def _long_scores(short: str) -> str:
 
 @query("score_components", " UNION ALL ".join(_long_scores(s) for s in x.PILLARS))
 def score_components(spark, sf_dir):
-    models = Models(spark, sf_dir)
+    chain = models(spark, sf_dir)
     parts = None
     for pillar in ("profitability", "growth", "safety"):
-        df = models.components(pillar)
+        df = chain.components(pillar)
         zs = [c for c in df.columns if c.startswith("z_")]
         pairs = F.explode(F.array(*[
             F.struct(F.lit(z).alias("score"), r(F.col(z)).alias("z")) for z in zs]))
@@ -141,10 +141,10 @@ def score_components(spark, sf_dir):
     f"SELECT ticker, CAST(absolute_quarter AS BIGINT) AS absolute_quarter, '{out}' AS pillar,"
     f" round({out}, 6) + 0.0 AS score FROM x_pl_{s}_z" for s, (_, _, out) in x.PILLARS.items()))
 def pillar_score(spark, sf_dir):
-    models = Models(spark, sf_dir)
+    chain = models(spark, sf_dir)
     parts = None
     for pillar in ("profitability", "growth", "safety"):
-        df = models.pillar(pillar)
+        df = chain.pillar(pillar)
         out = f"qmj_{pillar}_score"
         rows = df.select("ticker", F.col("absolute_quarter").cast("bigint")
                          .alias("absolute_quarter"), F.lit(out).alias("pillar"),
@@ -161,7 +161,7 @@ _DIM_NUM = ("market_cap", "avg_volume_3m", "shares_outstanding", "floating_share
 
 @query("dim_company", f"SELECT {_DIM}, {rs(*_DIM_NUM, digits=2)} FROM x_dim")
 def dim_company(spark, sf_dir):
-    df = Models(spark, sf_dir).dim_company()
+    df = models(spark, sf_dir).dim_company()
     return rounded(df.select(*_DIM.split(", "), *_DIM_NUM), *_DIM_NUM, digits=2)
 
 
@@ -175,7 +175,7 @@ OBT_SQL = f"""SELECT {', '.join(_OBT_TEXT)}, CAST(year AS BIGINT) AS year,
 
 
 def obt_rows(spark, sf_dir):
-    df = Models(spark, sf_dir).obt()
+    df = models(spark, sf_dir).obt()
     return rounded(rounded(df, *_OBT_MONEY, digits=2), *_OBT_SCORES, digits=3)
 
 
@@ -186,7 +186,7 @@ query("obt_web", OBT_SQL)(obt_rows)
     count(z_value_historical) AS n_history, count(z_value_recent) AS n_recent,
     count(quarter_market_cap) AS n_market FROM ({OBT_SQL}) GROUP BY absolute_quarter""")
 def obt_assemble(spark, sf_dir):
-    return Models(spark, sf_dir).obt().groupBy("absolute_quarter").agg(
+    return models(spark, sf_dir).obt().groupBy("absolute_quarter").agg(
         F.count(F.lit(1)).alias("n_rows"), F.max("qmj_rank").alias("max_rank"),
         F.count("z_value_historical").alias("n_history"),
         F.count("z_value_recent").alias("n_recent"),
@@ -206,7 +206,7 @@ def safest(spark, sf_dir, top_n: int = 10):
     """The flagship question: the soundest companies of each quarter by solvency score."""
     from factorloom.operators.ranking import xs_rank
 
-    scored = Models(spark, sf_dir).altman().where(F.col("status") == QUALIFIED)
+    scored = models(spark, sf_dir).altman().where(F.col("status") == QUALIFIED)
     ranked = xs_rank(scored, ["absolute_quarter"], {"safety_rank": "altman_z_score"},
                      descending=True)
     return ranked.where(F.col("safety_rank") <= top_n).select(
