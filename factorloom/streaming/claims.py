@@ -55,13 +55,12 @@ def split_failures(batch: DataFrame, ok: str = "ok") -> tuple[DataFrame, DataFra
 
 def _overwrite_batch(df: DataFrame, folder: str, epoch: int, kind: str) -> None:
     """Write one micro-batch to its own folder; a replayed batch replaces its first try."""
-    writer = df.write.mode("overwrite")
     target = f"{folder}/epoch={epoch:09d}"
     if kind == "json":
-        df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode(
-            "overwrite").text(target)
+        lines = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+        lines.write.mode("overwrite").text(target)
     else:
-        writer.parquet(target)
+        df.write.mode("overwrite").parquet(target)
 
 
 def load_pass(messages: DataFrame, fetch: Callable[[DataFrame], DataFrame], landing: str,
@@ -106,12 +105,18 @@ def load_with_retry(spark: SparkSession, topic: str, landing: str, checkpoint: s
     first = claim_checks(spark, topic, schema, files_per_trigger)
     load_pass(first, fetch, folders["first"], folders["retry"], f"{checkpoint}/first",
               transform).awaitTermination()
-    again = claim_checks(spark, f"{folders['retry']}/*", schema, files_per_trigger)
-    load_pass(again, retry_fetch or fetch, folders["retried"], folders["dlq"],
-              f"{checkpoint}/retry", transform).awaitTermination()
+    if _has_batches(spark, folders["retry"]):
+        again = claim_checks(spark, f"{folders['retry']}/*", schema, files_per_trigger)
+        load_pass(again, retry_fetch or fetch, folders["retried"], folders["dlq"],
+                  f"{checkpoint}/retry", transform).awaitTermination()
     return folders
 
 
+def _has_batches(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def compact_log(log: DataFrame, key: str, ts: str, as_of: datetime,
                 hours: int = RETENTION_HOURS) -> DataFrame:
     """Newest message per key within the retention time.
