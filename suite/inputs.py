@@ -71,6 +71,15 @@ def ticker_of(key: str) -> Column:
     return F.when(F.length(code) >= 3, code).otherwise(F.lpad(code, 3, "0"))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Keep every core busy where few small rows are about to become many.
+
+    Adaptive execution merges small shuffle partitions, which would leave the expansion that
+    follows to one task; a fixed partition count is not merged.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def _ts(text: str) -> Column:
     return F.lit(text).cast("timestamp")
 
@@ -120,7 +129,7 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"struct('{kind}' AS data_type, {i} AS indicator_id, {value(kind, i, a, b)} AS value)"
         for kind, i, a, b in INDICATOR_ROWS
     )
-    rows = deliveries(spark, sf_dir).selectExpr(
+    rows = spread(deliveries(spark, sf_dir), "ticker").selectExpr(
         "l_suppkey", "ticker", "year", "quarter", "bronze_ingested_time", f"inline(array({items}))")
     lost = ((F.col("l_suppkey") % 25 == 9) & (F.col("quarter") == 2) & (F.col("year") == 1996)
             & (F.col("data_type") == "cash_flow_indirect_quarter"))
@@ -234,7 +243,7 @@ def price_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = placed.groupBy("s_nationkey", "date").agg(
         F.sum("ext").alias("n_ext"), F.sum("qty").alias("n_qty"))
     market = own.groupBy("date").agg(F.sum("ext").alias("ext"), F.sum("qty").alias("qty"))
-    dense = suppliers.join(nation, "s_nationkey").join(
+    dense = spread(nation, "date").join(suppliers, "s_nationkey").join(
         own.withColumnRenamed("l_suppkey", "s_suppkey"), ["s_suppkey", "date"], "left")
     stocks = dense.select(
         ticker_of("s_suppkey").alias("ticker"), "date",

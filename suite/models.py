@@ -29,7 +29,7 @@ class Models:
         return self._built[name]
 
     def landed_reports(self) -> DataFrame:
-        return self._once("landed", lambda: inputs.reports(self.spark, self.sf_dir))
+        return self._once("landed", lambda: inputs.reports(self.spark, self.sf_dir), True)
 
     def statement(self, kind: str) -> DataFrame:
         return self._once(kind, lambda: cleaned.statement(self.landed_reports(), kind, CTX))
