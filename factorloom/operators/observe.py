@@ -12,6 +12,7 @@ from factorloom.operators.aggregates import min_max_group
 from factorloom.operators.combine import union_runs
 from factorloom.operators.ranking import row_numbers
 from factorloom.operators.windows import running_stats
+from factorloom.session import small_side
 
 METRIC_KEY = ("metric_name", "full_table_name", "column_name")
 
@@ -77,7 +78,7 @@ def with_day_ends(runs: DataFrame, by: str = "generated_at",
         F.min(F.struct(by, ident))[ident].alias("_first"),
         F.max(F.struct(by, ident))[ident].alias("_last"),
     )
-    joined = runs.withColumn("_day", day).join(ends, "_day")
+    joined = runs.withColumn("_day", day).join(small_side(ends), "_day")
     return joined.withColumns({
         "is_the_first_invocation_of_the_day": F.col("_first") == F.col(ident),
         "is_the_last_invocation_of_the_day": F.col("_last") == F.col(ident),

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from factorloom.session import cut_lineage
+from factorloom.session import cut_lineage, small_side
 
 MAX_GROUP = 1_000_000
 _RANGE, _COUNT, _BEFORE = "_range", "_count", "_before"
@@ -56,7 +56,9 @@ def _positions(counted: DataFrame, by: Sequence[str], order: Sequence[Column]) -
     )
     inside = F.coalesce(F.sum(_COUNT).over(earlier_rows), F.lit(0))
     same = [F.col(f"l.{b}").eqNullSafe(F.col(f"r.{b}")) for b in (*by, _RANGE)]
-    placed = ranged.withColumn("_inside", inside).alias("l").join(starts.alias("r"), same)
+    # One row per range and group: as few as there are tasks and groups.
+    starts = small_side(starts).alias("r")
+    placed = ranged.withColumn("_inside", inside).alias("l").join(starts, same)
     rest = [F.col(f"l.{c}") for c in counted.columns]
     return placed.select(*rest, (F.col("l._inside") + F.col("r._start")).alias(_BEFORE))
 
@@ -107,7 +109,7 @@ def _fill_last(df: DataFrame, by: Sequence[str], outs: Mapping[str, str],
     if nullable:
         return df
     filled = {c: F.count(c).alias(f"_n_{o}") for o, c in outs.items()}
-    sizes = df.groupBy(*by).agg(*filled.values())
+    sizes = small_side(df.groupBy(*by).agg(*filled.values()))
     match = [F.col(f"l.{b}").eqNullSafe(F.col(f"r.{b}")) for b in by]
     joined = df.alias("l").join(sizes.alias("r"), match).select("l.*", *[
         f"r._n_{o}" for o in outs])
@@ -129,8 +131,9 @@ def _standardised(value: Column, mean: Column, deviation: Column) -> Column:
 def zscore(df: DataFrame, by: Sequence[str], cols: Mapping[str, str] | Sequence[str]) -> DataFrame:
     """(x - mean) / sample deviation per group (out -> source), NULL when the deviation is 0.
 
-    Means and deviations come from a combining aggregate that is joined back; with no group
-    columns they enter as scalar subqueries.
+    Means and deviations come from a combining aggregate that is joined back, by broadcast
+    when the groups are few, so that no group has to meet in one task.  With no group columns
+    they enter as scalar subqueries.
     """
     outs = _outputs(cols, "_z")
     stats = []
@@ -148,7 +151,8 @@ def zscore(df: DataFrame, by: Sequence[str], cols: Mapping[str, str] | Sequence[
             for out, c in outs.items()
         })
     match = [F.col(f"l.{b}").eqNullSafe(F.col(f"r.{b}")) for b in by]
-    joined = df.alias("l").join(df.groupBy(*by).agg(*stats).alias("r"), match)
+    table = small_side(df.groupBy(*by).agg(*stats))
+    joined = df.alias("l").join(table.alias("r"), match)
     scores = [
         _standardised(F.col(f"l.{c}").cast("double"), F.col(f"r._m_{out}"),
                       F.col(f"r._s_{out}")).alias(out)

@@ -81,6 +81,10 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast hint behind a row count; above the bound the join stays a shuffle join."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """A side expected to be small: stored once, then broadcast if it really is.
+
+    Above the bound the plain table is returned and the join stays a shuffle join.
+    """
+    stored = cut_lineage(df, "side")
+    return F.broadcast(stored) if fits(stored, max_rows) else stored

@@ -16,10 +16,13 @@ from pyspark.sql import functions as F
 
 from factorloom.catalogue import TableSpec
 from factorloom.operators.incremental import merge_latest
+from factorloom.session import cut_lineage, fits, small_side
 
 # Target file size, retention of the audit log.
 TARGET_MB = 128
 KEEP_DAYS = 60
+# Largest table exported as a single CSV file.
+SINGLE_FILE_ROWS = 500_000
 
 
 class TableStore:
@@ -62,8 +65,11 @@ class TableStore:
         started = self.versions(name, committed=False)
         return f"{self.root}/{name}/v={(started[-1] if started else 0) + 1:06d}"
 
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.option("mergeSchema", "true").parquet(self.current_path(name))
+    def read(self, name: str, evolving: bool = False) -> DataFrame:
+        """Newest version; ``evolving`` merges the schemas of files appended with new columns,
+        which reads every file's footer."""
+        reader = self.spark.read.option("mergeSchema", str(evolving).lower())
+        return reader.parquet(self.current_path(name))
 
     def read_or_none(self, name: str) -> DataFrame | None:
         return self.read(name) if self.exists(name) else None
@@ -74,7 +80,8 @@ class TableStore:
             self._write(self.spark.createDataFrame([], spec.schema), spec,
                         self._next_path(spec.name), "errorifexists")
 
-    def _write(self, df: DataFrame, spec: TableSpec, path: str, mode: str) -> None:
+    def _write(self, df: DataFrame, spec: TableSpec, path: str, mode: str,
+               touched_only: bool = False) -> None:
         order = [F.desc_nulls_last(c) for c in spec.sort_desc if c in df.columns]
         if spec.partition_by and order:
             # The writer wants partition columns first; the declared order follows them.
@@ -82,6 +89,8 @@ class TableStore:
         elif order:
             df = df.sortWithinPartitions(*order)
         writer = df.write.mode(mode)
+        if touched_only:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
         if spec.partition_by:
             writer = writer.partitionBy(*spec.partition_by)
         writer.parquet(path)
@@ -115,9 +124,23 @@ class TableStore:
         self._write(typed.select("*", *missing), spec, self.current_path(spec.name), "append")
 
     def merge(self, source: DataFrame, spec: TableSpec, keys: list[str]) -> None:
-        """Upsert into a table and publish the result as its next version."""
+        """Upsert rows, one per key, into a table.
+
+        When the partition columns belong to the key, only partitions the source touches are
+        read and rewritten: the new rows are staged first, then each touched partition is
+        replaced.  Otherwise the merged table becomes the next version.
+        """
         target = self.read_or_none(spec.name)
-        self.overwrite(source if target is None else merge_latest(target, source, keys), spec)
+        if target is None:
+            self.overwrite(source, spec)
+        elif spec.partition_by and set(spec.partition_by) <= set(keys):
+            parts = list(spec.partition_by)
+            touched = small_side(source.select(*parts).distinct())
+            affected = target.join(touched, parts, "left_semi")
+            staged = cut_lineage(merge_latest(affected, source, keys), "merge")
+            self._write(staged, spec, self.current_path(spec.name), "overwrite", touched_only=True)
+        else:
+            self.overwrite(merge_latest(target, source, keys), spec)
 
     def size_bytes(self, name: str) -> int:
         summary = self._files().getContentSummary(self._path(name, self.current_path(name)
@@ -145,9 +168,11 @@ def expire_partitions(df: DataFrame, ts: str, as_of: date, keep_days: int = KEEP
 
 
 def export_csv(df: DataFrame, path: str, order: list | None = None) -> None:
-    """One CSV file with a header; for the serving table, whose size is bounded by design."""
+    """CSV with a header: one file for a table of screen size, ordered shards beyond that."""
     rows = df.orderBy(*order) if order else df
-    rows.coalesce(1).write.mode("errorifexists").csv(path, header=True)
+    if fits(df, SINGLE_FILE_ROWS):
+        rows = rows.coalesce(1)
+    rows.write.mode("errorifexists").csv(path, header=True)
 
 
 def export_seed(df: DataFrame, path: str, audit: tuple[str, ...] = (

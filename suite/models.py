@@ -132,7 +132,7 @@ class Models:
     def obt(self) -> DataFrame:
         return self._once("obt", lambda: serving.obt_web(
             self.qmj(), self.value_momentum(), self.value_momentum_live(), self.dim_company(),
-            self.fundamental_quarter()))
+            self.fundamental_quarter()), True)
 
 
 _HELD: dict[tuple[str, str], Models] = {}

@@ -39,13 +39,14 @@ def append_incremental(spark, sf_dir):
     UNION ALL SELECT p_partkey + 1000000000, p_retailprice, p_brand FROM part WHERE p_size < 5""")
 def merge_latest(spark, sf_dir):
     held = new_store(spark)
-    spec = TableSpec("parts", "", (), ("p_partkey",))
+    spec = TableSpec("parts", "", ("p_brand",), ("p_partkey",))
+    keys = ["p_partkey", "p_brand"]
     parts = table(spark, sf_dir, "part")
     fields = ["p_partkey", "p_retailprice", "p_brand"]
     changed = parts.where("p_size > 25").withColumn("p_retailprice", F.col("p_retailprice") * 2)
     added = parts.where("p_size < 5").withColumn("p_partkey", F.col("p_partkey") + 1_000_000_000)
-    held.merge(parts.select(*fields), spec, ["p_partkey"])
-    held.merge(changed.select(*fields).unionByName(added.select(*fields)), spec, ["p_partkey"])
+    held.merge(parts.select(*fields), spec, keys)
+    held.merge(changed.select(*fields).unionByName(added.select(*fields)), spec, keys)
     return held.read("parts")
 
 

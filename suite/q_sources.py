@@ -79,7 +79,7 @@ def sink_append_evolve(spark, sf_dir):
     done = F.col("o_orderstatus") == "F"
     held.append_evolve(orders.where(done).select(*old), ORDERS)
     held.append_evolve(orders.where(~done).select(*old, "o_orderpriority"), ORDERS)
-    return held.read(ORDERS.name).groupBy("o_orderstatus").agg(
+    return held.read(ORDERS.name, evolving=True).groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"),
         F.count("o_orderpriority").alias("n_priority"))
