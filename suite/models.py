@@ -21,13 +21,27 @@ class Models:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._built: dict[str, DataFrame] = {}
+        self._stored: list[DataFrame] = []
 
     def _once(self, name: str, build, stored: bool = False) -> DataFrame:
         if name not in self._built:
             df = build()
-            self._built[name] = cut_lineage(df) if stored else df
+            if stored:
+                df = cut_lineage(df, name)
+                self._stored.append(df)
+            self._built[name] = df
         return self._built[name]
 
+    def intact(self) -> bool:
+        """Whether the stored steps are still where they were written."""
+        conf = self.spark._jsc.hadoopConfiguration()
+        for df in self._stored:
+            for file in df.inputFiles()[:1]:
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(file)
+                if not path.getFileSystem(conf).exists(path):
+                    return False
+        return True
+
     def landed_reports(self) -> DataFrame:
         return self._once("landed", lambda: inputs.reports(self.spark, self.sf_dir), True)
 
@@ -141,7 +155,7 @@ _HELD: dict[tuple[str, str], Models] = {}
 def models(spark: SparkSession, sf_dir: str) -> Models:
     """The model chain of one application and folder: later queries read stored tables."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _HELD:
+    if key not in _HELD or not _HELD[key].intact():
         _HELD[key] = Models(spark, sf_dir)
     return _HELD[key]
 
