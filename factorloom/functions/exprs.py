@@ -27,7 +27,8 @@ def ratio(num: ColumnLike, den: ColumnLike, mode: str = "double") -> Column:
     """
     num, den = col(num), col(den)
     if mode == "decimal4":
-        exact = num.cast("decimal(38,10)") / F.nullif(den.cast("decimal(38,10)"), F.lit(0))
+        # Operands of 28 digits leave the quotient ten decimals, enough to round once.
+        exact = num.cast("decimal(28,6)") / F.nullif(den.cast("decimal(28,6)"), F.lit(0))
         return F.round(exact, 4).cast("decimal(38,4)")
     if mode != "double":
         raise ValueError(f"unknown ratio mode {mode!r}")

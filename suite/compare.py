@@ -62,7 +62,8 @@ def check(spark, con, sf_dir: str, name: str) -> tuple[str, str]:
     if got_rows != want_rows:
         extra = [x for x in got_rows if x not in set(want_rows)][:2]
         lack = [x for x in want_rows if x not in set(got_rows)][:2]
-        return "FAIL", f"{len(got_rows)} vs {len(want_rows)} rows\n  {cols}\n  got {extra}\n  want {lack}"
+        counts = f"{len(got_rows)} vs {len(want_rows)} rows"
+        return "FAIL", f"{counts}\n  {cols}\n  got {extra}\n  want {lack}"
     return ("types" if odd else "ok"), f"{len(got_rows)} rows {odd or ''}"
 
 

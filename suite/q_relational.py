@@ -55,7 +55,8 @@ def json_extract_fields(spark, sf_dir):
     AS level, TRY_CAST(substr(o_orderpriority, 3) AS DOUBLE) AS name FROM orders""")
 def try_cast_cols(spark, sf_dir):
     parts = table(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey", "substr(o_orderpriority, 1, 1) AS level", "substr(o_orderpriority, 3) AS name")
+        "o_orderkey", "substr(o_orderpriority, 1, 1) AS level",
+        "substr(o_orderpriority, 3) AS name")
     return clean.try_cast_cols(parts, {"level": "int", "name": "double"})
 
 

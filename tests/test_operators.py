@@ -50,6 +50,34 @@ def test_ratio_modes(spark):
         exprs.ratio("a", "b", "other")
 
 
+def test_quantised_ratio_rounds_once(spark):
+    df = spark.sql("SELECT CAST(v AS DECIMAL(20,4)) v, CAST(1000000 AS DECIMAL(20,4)) w"
+                   " FROM VALUES (123450), (123449.6), (-123450) AS t(v)")
+    got = [str(r[0]) for r in df.select(exprs.ratio("v", "w", "decimal4")).collect()]
+    assert got == ["0.1235", "0.1234", "-0.1235"]
+
+
+def test_quantised_mode_runs_through_the_models(spark, ctx):
+    from dataclasses import replace
+
+    from factorloom.plans import factors
+    from factorloom.plans.panel import POINT_IN_TIME, TTM_MEASURES
+
+    money = [f"CAST({100 + i} + id AS DECIMAL(20,4)) AS {c}" for i, c in enumerate(
+        [*(f"{m}_ttm" for m in TTM_MEASURES), *POINT_IN_TIME])]
+    ttm = spark.range(20).selectExpr(
+        "'AAA' AS ticker", "CAST(2020 + (id - id % 4) / 4 AS INT) AS year",
+        "CAST(id % 4 + 1 AS INT) AS quarter", "8081 + id AS absolute_quarter", *money,
+        "2.0D AS risk_free_rate", "100.0D AS cpi_index", "'valid_ttm' AS ttm_status")
+    exact = replace(ctx, ratio_mode="decimal4")
+    for model in (factors.profitability, factors.growth, factors.altman_z, factors.ohlson_o,
+                  factors.value_hist):
+        a, b = model(ttm, ctx), model(ttm, exact)
+        assert a.where("status = 'qualified'").count() > 0
+        assert a.count() == b.count()
+    assert dict(factors.profitability(ttm, exact).dtypes)["gpoa"] == "decimal(38,4)"
+
+
 def test_quantised_ratio_makes_ties(spark):
     df = spark.sql("SELECT CAST(v AS DECIMAL(20,4)) v, CAST(100000 AS DECIMAL(20,4)) w"
                    " FROM VALUES (10001), (10002), (20000) AS t(v)")
