@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factorloom.llm import decontaminate, near_dups, substrings
+from factorloom.llm import (
+    decontaminate, impact_index, near_dups, packing, resample, substrings)
 from factorloom.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +33,42 @@ def op2(spark, sf_dir):
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+@query("op3_importance_resampling")
+def op3(spark, sf_dir):
+    return resample.digest(resample.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+@query("op5_best_fit_packing")
+def op5(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+TOP_K_SQL = """
+WITH v AS (
+    SELECT row_number() OVER () AS row, vec_id,
+           list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS vector
+    FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(
+        embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.row AS query_row, q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(
+               list_zip(q.vector, c.vector), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.row <> c.row AND len(q.vector) = len(c.vector)
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (
+          PARTITION BY query_row ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM scored)
+WHERE rank <= 10
+"""
+
+
+@query("op6_exact_top_k", TOP_K_SQL)
+def op6(spark, sf_dir):
+    return impact_index.digest(impact_index.top_k(table(spark, sf_dir, "embeddings")))
+
+
 @query("op7_substring_dedup")
 def op7(spark, sf_dir):
     return substrings.digest(substrings.dedup(
