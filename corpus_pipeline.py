@@ -1,11 +1,21 @@
-"""A training-data pipeline over ``documents``: each stage takes what the one before kept."""
+"""A training-data pipeline over ``documents``: each stage takes what the one before kept.
+
+All stages but the last return the columns of ``documents``; the last one returns the
+pieces of the packed sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factorloom.llm import decontaminate, near_dups
+from factorloom.llm import decontaminate, near_dups, packing, resample, secrets
 from factorloom.llm.frames import stored
+from factorloom.session import prepare
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn by importance; the share kept is that of good documents in ``labels``."""
+    return resample.keep_sample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +28,23 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES = [("near_dedup", near_dedup), ("decontamination", decontamination)]
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets replaced by a mark."""
+    return secrets.redact(docs)
+
+
+def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality", quality),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("secret_scan", secret_scan),
+    ("sequence_packing", sequence_packing),
+]
 
 # The first stage draws at random from hashed models; SQL cannot express it.
 ORACLE_SQL = None
@@ -26,7 +52,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after the other, each written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
     return docs

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from factorloom.llm import (
-    decontaminate, impact_index, near_dups, packing, resample, substrings)
+    chats, decontaminate, impact_index, near_dups, packing, resample, secrets, shards, sql,
+    substrings, url_trust)
 from factorloom.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,7 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query("op2_benchmark_decontamination")
+@query("op1_secret_scan", sql.SECRETS)
+def op1(spark, sf_dir):
+    return secrets.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op2_benchmark_decontamination", sql.CONTAMINATION)
 def op2(spark, sf_dir):
     return decontaminate.digest(decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
@@ -39,42 +45,37 @@ def op3(spark, sf_dir):
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
 
+@query("op4_uniform_shuffle")
+def op4(spark, sf_dir):
+    return shards.shard_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op5_best_fit_packing")
 def op5(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-TOP_K_SQL = """
-WITH v AS (
-    SELECT row_number() OVER () AS row, vec_id,
-           list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS vector
-    FROM embeddings
-    WHERE len(embedding) > 0 AND len(list_filter(
-        embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-), scored AS (
-    SELECT q.row AS query_row, q.vec_id AS query_id, c.vec_id,
-           CAST(list_sum(list_transform(
-               list_zip(q.vector, c.vector), lambda p: p[1] * p[2])) AS BIGINT) AS score
-    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.row <> c.row AND len(q.vector) = len(c.vector)
-)
-SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (
-          PARTITION BY query_row ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM scored)
-WHERE rank <= 10
-"""
-
-
-@query("op6_exact_top_k", TOP_K_SQL)
+@query("op6_exact_top_k", sql.TOP_K)
 def op6(spark, sf_dir):
     return impact_index.digest(impact_index.top_k(table(spark, sf_dir, "embeddings")))
 
 
-@query("op7_substring_dedup")
+@query("op7_substring_dedup", sql.SUBSTRINGS)
 def op7(spark, sf_dir):
     return substrings.digest(substrings.dedup(
         table(spark, sf_dir, "documents"), with_text=False))
 
 
-@query("op10_minhash_near_dedup")
+@query("op8_chat_snapshots", sql.CHATS)
+def op8(spark, sf_dir):
+    return chats.render(table(spark, sf_dir, "conversations"))
+
+
+@query("op9_url_trust")
+def op9(spark, sf_dir):
+    return url_trust.digest(url_trust.judge(table(spark, sf_dir, "pages")))
+
+
+@query("op10_minhash_near_dedup", sql.NEAR_DUPS)
 def op10(spark, sf_dir):
     return near_dups.digest(near_dups.link(table(spark, sf_dir, "documents")))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from factorloom.llm.frames import sized, stored
+from factorloom.llm.frames import sized
 from factorloom.llm.text import BLANKS, Words, mix, pieces, windows
 
 WIDTH = 50
@@ -33,7 +33,7 @@ DEPTH = 3
 MAX_CELL_BITS = 28
 _SLICE_BITS = 20
 _NO_ID = np.iinfo(np.int64).max
-_FOUND = "h1 long, h2 long, doc_id long, key long, at array<int>"
+_FOUND = "h1 long, h2 long, doc_id long, key long, place int, more array<int>"
 
 
 def pack(cells: np.ndarray) -> bytes:
@@ -122,13 +122,12 @@ def may_repeat(hashes: np.ndarray, merged: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _occurrences(docs: DataFrame, merged, bits: int, width: int) -> DataFrame:
-    """Second pass.  Rows with a digest: a window in the smallest document its task has for
-    it, with all its places there.  Rows without: places already known to be removed."""
+    """Second pass.  With a ``place``: a window (its digest h1, h2) in the smallest document
+    its task has for it.  With ``more``: places of a document already known to be removed;
+    h1, h2 only spread those rows."""
     shared = docs.sparkSession.sparkContext.broadcast(merged)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()),
-                            ("key", pa.int64()), ("at", pa.list_(pa.int32()))])
         held: list[tuple] = []
 
         def flush():
@@ -137,17 +136,22 @@ def _occurrences(docs: DataFrame, merged, bits: int, width: int) -> DataFrame:
             digests, ids, keys, places = (np.concatenate(x) for x in zip(*held))
             held.clear()
             both = digests.view(np.int64).reshape(-1, 2)
-            # by window, then document, then place
-            order = np.lexsort((places, keys, ids, both[:, 1], both[:, 0]))
+            # by window, then document
+            order = np.lexsort((ids, both[:, 1], both[:, 0]))
             h1, h2, ids, keys, places = (
                 x[order] for x in (both[:, 0], both[:, 1], ids, keys, places))
             new = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
-            least = ids[np.flatnonzero(new)][np.cumsum(new) - 1]
-            first = ids == least
-            yield from emit(schema, first, h1, h2, ids, keys, places)
-            later = np.flatnonzero(~first)
-            later = later[np.lexsort((places[later], keys[later], ids[later]))]
-            yield from emit(schema, None, None, None, ids[later], keys[later], places[later])
+            first = ids == ids[np.flatnonzero(new)][np.cumsum(new) - 1]
+            yield rows(h1[first], h2[first], ids[first], keys[first], pa.array(places[first]),
+                       pa.nulls(int(first.sum()), pa.list_(pa.int32())))
+            ids, keys, places = ids[~first], keys[~first], places[~first]
+            order = np.lexsort((places, keys, ids))
+            ids, keys, places = ids[order], keys[order], places[order]
+            heads = np.flatnonzero(np.r_[
+                True, (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])][:len(ids)])
+            yield rows(ids[heads], places[heads].astype(np.int64), ids[heads], keys[heads],
+                       pa.nulls(len(heads), pa.int32()), pa.ListArray.from_arrays(
+                           pa.array(np.r_[heads, len(ids)], pa.int32()), pa.array(places)))
 
         for batch in batches:
             for a, b in pieces(batch.column(1)):
@@ -165,27 +169,15 @@ def _occurrences(docs: DataFrame, merged, bits: int, width: int) -> DataFrame:
                 ids = batch.column(0).slice(a, b - a).fill_null(_NO_ID).to_numpy()
                 keys = batch.column(2).slice(a, b - a).to_numpy()
                 held.append((np.frombuffer(digests, dtype="V16"), ids[owner], keys[owner],
-                             passed - words.first[owner]))
-                if sum(len(x[0]) for x in held) > 1 << 21:
+                             (passed - words.first[owner]).astype(np.int32)))
+                if sum(len(x[0]) for x in held) > 1 << 20:
                     yield from flush()
         yield from flush()
 
-    def emit(schema, keep, h1, h2, ids, keys, places):
-        """Rows of equal (window, document): their places as one list."""
-        if keep is not None:
-            h1, h2, ids, keys, places = (x[keep] for x in (h1, h2, ids, keys, places))
-        if not len(ids):
-            return
-        change = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])
-        if h1 is not None:
-            change |= (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-        heads = np.flatnonzero(np.r_[True, change])
-        at = pa.ListArray.from_arrays(pa.array(np.r_[heads, len(ids)], pa.int32()),
-                                      pa.array(places, pa.int32()))
-        none = pa.nulls(len(heads), pa.int64())
-        yield pa.RecordBatch.from_arrays([
-            none if h1 is None else pa.array(h1[heads]), none if h2 is None else pa.array(h2[heads]),
-            pa.array(ids[heads]), pa.array(keys[heads]), at], schema=schema)
+    def rows(h1, h2, ids, keys, place, more) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(h1), pa.array(h2), pa.array(ids), pa.array(keys), place, more],
+            names=["h1", "h2", "doc_id", "key", "place", "more"])
 
     return docs.select("doc_id", "text", "key").mapInArrow(find, _FOUND)
 
@@ -193,16 +185,17 @@ def _occurrences(docs: DataFrame, merged, bits: int, width: int) -> DataFrame:
 def repeated_places(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, key, at): start positions of the windows to be removed, several rows a document.
 
-    ``docs`` has doc_id, text and key (a hash of id and text); a null id comes back as the
-    largest long.
+    ``docs`` has doc_id, text and key, which tells rows with the same id apart; a null id comes
+    back as the largest long.
     """
     # a word and its blank take two bytes or more; six is usual
     bits = min(MAX_CELL_BITS, max(12, int(sized(docs, "text") // 3).bit_length()))
-    found = stored(_occurrences(docs, sketch(docs, bits, width), bits, width), "windows")
-    least = F.min("doc_id").over(Window.partitionBy("h1", "h2"))
-    across = (found.where("h1 is not null").withColumn("least", least)
-              .where("doc_id > least").select("doc_id", "key", "at"))
-    return across.unionByName(found.where("h1 is null").select("doc_id", "key", "at"))
+    found = _occurrences(docs, sketch(docs, bits, width), bits, width)
+    # rows without a place are decided: they look no further than their own spread
+    least = F.min("doc_id").over(Window.partitionBy(
+        "h1", "h2", F.col("place").isNull()))
+    return (found.withColumn("least", least).where("place is null or doc_id > least")
+            .select("doc_id", "key", F.coalesce("more", F.array("place")).alias("at")))
 
 
 def dedup(docs: DataFrame, width: int = WIDTH, with_text: bool = True) -> DataFrame:
@@ -213,7 +206,9 @@ def dedup(docs: DataFrame, width: int = WIDTH, with_text: bool = True) -> DataFr
     are judged on the input.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    docs = docs.withColumn("key", F.xxhash64("doc_id", "text"))
+    # with ids of their own, rows need no further key, which would be most of a window's bytes
+    unique = docs.groupBy("doc_id").count().where("count > 1").isEmpty()
+    docs = docs.withColumn("key", F.lit(0).cast("long") if unique else F.xxhash64("text"))
     gone = (repeated_places(docs, width).groupBy("doc_id", "key")
             .agg(F.flatten(F.collect_list("at")).alias("at"))
             .select(F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key"), "at"))
