@@ -4,7 +4,7 @@ First pass: each partition adds its 50-word windows to a count-min sketch and se
 sparse form, cut into slices; slices are merged, and of the merged sketch two bits' worth of
 information is needed: which cells reach two.  An estimate is never below the true count, so a
 window that occurs twice always passes.  Second pass: windows estimated at two or more are
-identified by a 128-bit BLAKE2 digest of their very words.  A partition decides by itself all
+identified by a 96-bit BLAKE2 digest of their very words.  A partition decides by itself all
 occurrences but those in the smallest document it has for a window, so a window that occurs in
 a third of all documents sends one row per partition.
 
@@ -20,11 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from factorloom.llm.frames import sized
+from factorloom.llm.frames import sized, stored
 from factorloom.llm.text import BLANKS, Words, mix, pieces, windows
 
 WIDTH = 50
@@ -32,8 +32,10 @@ DEPTH = 3
 # The merged sketch is broadcast: DEPTH bits per cell, 96 MB at most.
 MAX_CELL_BITS = 28
 _SLICE_BITS = 20
+# The bitmap of affected documents: 8 MB.
+MARK_BITS = 26
 _NO_ID = np.iinfo(np.int64).max
-_FOUND = "h1 long, h2 long, doc_id long, key long, place int, more array<int>"
+_FOUND = "h1 long, h2 int, doc_id long, key long, place int, more array<int>"
 
 
 def pack(cells: np.ndarray) -> bytes:
@@ -56,8 +58,9 @@ def cells_of(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (salted >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def sketch(docs: DataFrame, bits: int, width: int) -> np.ndarray:
-    """For each row of the merged sketch, packed bits: does the cell reach two?"""
+def sketch(docs: DataFrame, bits: int, width: int) -> bytes:
+    """The rows of the merged sketch, one after the other, as packed bits: does the cell
+    reach two?"""
     slice_bits = min(bits, _SLICE_BITS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,7 +90,7 @@ def sketch(docs: DataFrame, bits: int, width: int) -> np.ndarray:
                 found = windows(words.hashes(), words.first, width)[1]
                 if len(found):
                     held.append(found)
-                if sum(map(len, held)) > 1 << 22:
+                if sum(map(len, held)) > 1 << 21:
                     yield from flush()
         yield from flush()
 
@@ -109,12 +112,13 @@ def sketch(docs: DataFrame, bits: int, width: int) -> np.ndarray:
     for row in merged.toLocalIterator():
         at = (row[0] & 0xFFFFFFFF) * size
         out[row[0] >> 32, at:at + size] = np.frombuffer(row[1], dtype=np.uint8)
-    return out
+    return out.tobytes()
 
 
-def may_repeat(hashes: np.ndarray, merged: np.ndarray, bits: int) -> np.ndarray:
-    """Whether each window's estimate reaches two."""
+def may_repeat(hashes: np.ndarray, merged: bytes, bits: int) -> np.ndarray:
+    """The windows whose estimate reaches two."""
     passed = np.arange(len(hashes))
+    merged = np.frombuffer(merged, dtype=np.uint8).reshape(DEPTH, -1)
     for row in range(DEPTH):
         cells = cells_of(hashes[passed], row, bits)
         passed = passed[merged[row, cells >> 3] >> (7 - (cells & 7)).astype(np.uint8) & 1 > 0]
@@ -135,11 +139,10 @@ def _occurrences(docs: DataFrame, merged, bits: int, width: int) -> DataFrame:
                 return
             digests, ids, keys, places = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            both = digests.view(np.int64).reshape(-1, 2)
+            h1, h2 = digests["h1"], digests["h2"]
             # by window, then document
-            order = np.lexsort((ids, both[:, 1], both[:, 0]))
-            h1, h2, ids, keys, places = (
-                x[order] for x in (both[:, 0], both[:, 1], ids, keys, places))
+            order = np.lexsort((ids, h2, h1))
+            h1, h2, ids, keys, places = (x[order] for x in (h1, h2, ids, keys, places))
             new = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
             first = ids == ids[np.flatnonzero(new)][np.cumsum(new) - 1]
             yield rows(h1[first], h2[first], ids[first], keys[first], pa.array(places[first]),
@@ -149,7 +152,7 @@ def _occurrences(docs: DataFrame, merged, bits: int, width: int) -> DataFrame:
             ids, keys, places = ids[order], keys[order], places[order]
             heads = np.flatnonzero(np.r_[
                 True, (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])][:len(ids)])
-            yield rows(ids[heads], places[heads].astype(np.int64), ids[heads], keys[heads],
+            yield rows(ids[heads], places[heads], ids[heads], keys[heads],
                        pa.nulls(len(heads), pa.int32()), pa.ListArray.from_arrays(
                            pa.array(np.r_[heads, len(ids)], pa.int32()), pa.array(places)))
 
@@ -163,14 +166,14 @@ def _occurrences(docs: DataFrame, merged, bits: int, width: int) -> DataFrame:
                 joined, offsets = words.joined()
                 view = memoryview(joined.tobytes())
                 digests = b"".join(
-                    hashlib.blake2b(view[x:y], digest_size=16).digest()
+                    hashlib.blake2b(view[x:y], digest_size=12).digest()
                     for x, y in zip(offsets[passed].tolist(), offsets[passed + width].tolist()))
                 owner = np.searchsorted(words.first, passed, "right") - 1
                 ids = batch.column(0).slice(a, b - a).fill_null(_NO_ID).to_numpy()
                 keys = batch.column(2).slice(a, b - a).to_numpy()
-                held.append((np.frombuffer(digests, dtype="V16"), ids[owner], keys[owner],
+                held.append((np.frombuffer(digests, dtype=[("h1", "<i8"), ("h2", "<i4")]), ids[owner], keys[owner],
                              (passed - words.first[owner]).astype(np.int32)))
-                if sum(len(x[0]) for x in held) > 1 << 20:
+                if sum(len(x[0]) for x in held) > 1 << 19:
                     yield from flush()
         yield from flush()
 
@@ -183,7 +186,7 @@ def _occurrences(docs: DataFrame, merged, bits: int, width: int) -> DataFrame:
 
 
 def repeated_places(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, key, at): start positions of the windows to be removed, several rows a document.
+    """(doc_id, key, at): per document the start positions of the windows to be removed.
 
     ``docs`` has doc_id, text and key, which tells rows with the same id apart; a null id comes
     back as the largest long.
@@ -195,56 +198,93 @@ def repeated_places(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     least = F.min("doc_id").over(Window.partitionBy(
         "h1", "h2", F.col("place").isNull()))
     return (found.withColumn("least", least).where("place is null or doc_id > least")
-            .select("doc_id", "key", F.coalesce("more", F.array("place")).alias("at")))
+            .groupBy("doc_id", "key").agg(F.collect_list("place").alias("places"),
+                                          F.flatten(F.collect_list("more")).alias("more"))
+            .select("doc_id", "key", F.concat("places", "more").alias("at")))
+
+
+def _marks(gone: DataFrame) -> bytes:
+    """A bitmap of ``2 ** MARK_BITS`` bits, set at the marks of the documents in ``gone``."""
+    rows = gone.select(_mark("doc_id", "key").alias("bit")).groupBy(
+        F.bitmap_bucket_number("bit").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
+    out = np.zeros((1 << MARK_BITS >> 15, 1 << 12), dtype=np.uint8)
+    for bucket, bits in rows:
+        out[bucket - 1, :len(bits)] = np.frombuffer(bits, dtype=np.uint8)
+    return out.tobytes()
+
+
+def _mark(doc_id, key) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(doc_id, key), 64 - MARK_BITS) + 1
 
 
 def dedup(docs: DataFrame, width: int = WIDTH, with_text: bool = True) -> DataFrame:
     """Every row of ``docs`` (doc_id, text): doc_id, n_words, n_removed, kept_sha256, kept.
 
-    ``kept`` has the words that stay, joined by one space (null unless ``with_text``).  A word goes if a window of
-    ``width`` words covers it whose words also start in a document with a smaller id; windows
-    are judged on the input.
+    ``kept`` has the words that stay, joined by one space (null unless ``with_text``).  A word
+    goes if a window of ``width`` words covers it whose words also start in a document with a
+    smaller id; windows are judged on the input.  Only documents that a small bitmap marks
+    as perhaps affected are joined with their windows.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     # with ids of their own, rows need no further key, which would be most of a window's bytes
     unique = docs.groupBy("doc_id").count().where("count > 1").isEmpty()
     docs = docs.withColumn("key", F.lit(0).cast("long") if unique else F.xxhash64("text"))
-    gone = (repeated_places(docs, width).groupBy("doc_id", "key")
-            .agg(F.flatten(F.collect_list("at")).alias("at"))
-            .select(F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key"), "at"))
-    with_places = docs.join(
-        gone, (F.coalesce(docs["doc_id"], F.lit(_NO_ID)) == gone["gone_id"])
-        & (docs["key"] == gone["gone_key"]), "left").select("doc_id", "text", "at")
+    gone = stored(repeated_places(docs, width), "places")
+    shared = docs.sparkSession.sparkContext.broadcast(_marks(gone))
+    docs = docs.withColumn("mark", _mark(F.coalesce("doc_id", F.lit(_NO_ID)), "key"))
+
+    def marked(batch: pa.RecordBatch, column: int) -> np.ndarray:
+        at = batch.column(column).to_numpy() - 1
+        bits = np.frombuffer(shared.value, dtype=np.uint8)
+        return bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 > 0
+
+    def affected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(marked(batch, 3))).select(["doc_id", "text", "key"])
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from finish(batch.filter(pa.array(~marked(batch, 2))), None)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in pieces(batch.column(1)):
-                words = Words(batch.column(1).slice(a, b - a), BLANKS, lower=False)
-                at = batch.column(2).slice(a, b - a)
-                where = np.repeat(words.first[:-1], at.value_lengths().fill_null(0).to_numpy())
-                starts = at.flatten().to_numpy() + where
-                edge = np.zeros(len(words) + 1, dtype=np.int64)
+            yield from finish(batch, batch.column(2))
+
+    def finish(batch: pa.RecordBatch, places: pa.Array | None) -> Iterator[pa.RecordBatch]:
+        for a, b in pieces(batch.column(1)):
+            words = Words(batch.column(1).slice(a, b - a), BLANKS, lower=False)
+            edge = np.zeros(len(words) + 1, dtype=np.int64)
+            if places is not None:
+                at = places.slice(a, b - a)
+                starts = at.flatten().to_numpy() + np.repeat(
+                    words.first[:-1], at.value_lengths().fill_null(0).to_numpy())
                 np.add.at(edge, starts, 1)
                 np.add.at(edge, starts + width, -1)
-                stay = np.cumsum(edge[:-1]) == 0
-                joined, offsets = words.joined()
-                left = joined[np.repeat(stay, np.diff(offsets))].tobytes()
-                size = np.zeros(len(words) + 1, dtype=np.int64)
-                np.cumsum(np.where(stay, np.diff(offsets), 0), out=size[1:])
-                ends = size[words.first]
-                kept = [left[x:max(x, y - 1)] for x, y in zip(ends[:-1], ends[1:])]
-                removed = np.zeros(len(words) + 1, dtype=np.int64)
-                np.cumsum(~stay, out=removed[1:])
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, b - a), pa.array(words.counts, pa.int64()),
-                    pa.array(np.diff(removed[words.first]), pa.int64()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()),
-                    pa.array(kept, pa.binary()).cast(pa.string()) if with_text
-                    else pa.nulls(b - a, pa.string())],
-                    names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
-
-    return with_places.mapInArrow(
-        cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+            stay = np.cumsum(edge[:-1]) == 0
+            joined, offsets = words.joined()
+            left = joined[np.repeat(stay, np.diff(offsets))].tobytes()
+            size = np.zeros(len(words) + 1, dtype=np.int64)
+            np.cumsum(np.where(stay, np.diff(offsets), 0), out=size[1:])
+            ends = size[words.first]
+            kept = [left[x:max(x, y - 1)] for x, y in zip(ends[:-1], ends[1:])]
+            removed = np.zeros(len(words) + 1, dtype=np.int64)
+            np.cumsum(~stay, out=removed[1:])
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0).slice(a, b - a), pa.array(words.counts, pa.int64()),
+                pa.array(np.diff(removed[words.first]), pa.int64()),
+                pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()),
+                pa.array(kept, pa.binary()).cast(pa.string()) if with_text
+                else pa.nulls(b - a, pa.string())],
+                names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
+
+    out = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
+    places = gone.select(F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key"), "at")
+    some = docs.mapInArrow(affected, "doc_id long, text string, key long")
+    some = some.join(places, (F.coalesce(some["doc_id"], F.lit(_NO_ID)) == places["gone_id"])
+                     & (some["key"] == places["gone_key"]), "left")
+    return (docs.select("doc_id", "text", "mark").mapInArrow(others, out)
+            .union(some.select("doc_id", "text", "at").mapInArrow(cut, out)))
 
 
 def digest(result: DataFrame) -> DataFrame:
