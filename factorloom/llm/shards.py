@@ -138,7 +138,8 @@ def communication(counts: DataFrame, partitions: int, rows: int, shards: int,
     running = F.aggregate("sizes", F.array().cast("array<bigint>"), lambda out, n: F.concat(
         out, F.array(F.coalesce(F.element_at(out, F.when(F.size(out) > 0, -1).otherwise(None)),
                                 F.lit(0).cast("long")) + n)))
-    return nodes.select(F.col("parts")[0]["part"].alias("part"), running.alias("cuts"))
+    return nodes.where(F.size("parts") > 0).select(
+        F.get("parts", F.lit(0))["part"].alias("part"), running.alias("cuts"))
 
 
 def shuffle_rows(df: DataFrame, shards: int = SHARDS, seed: int = 29,
