@@ -20,8 +20,13 @@ def append_incremental(source: DataFrame, target: DataFrame | None, source_ts: s
 
 
 def merge_latest(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Upsert by key: a source row replaces the whole target row of its key."""
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
+    """Upsert by key: a source row replaces the whole target row of its key.
+
+    NULL is a key like any other.
+    """
+    t, s = target.alias("t"), source.select(*keys).alias("s")
+    same = [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+    kept = t.join(s, same, "left_anti")
     return sync_all_columns(kept, source).unionByName(source)
 
 

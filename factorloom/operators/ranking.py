@@ -1,9 +1,10 @@
-"""Ranks and z-scores over groups of any size.
+"""Ranks and z-scores over groups.
 
-A group up to ``MAX_GROUP`` rows is ranked by a plain window.  Larger groups take the
-distributed way: equal values are counted first, the distinct values are range-partitioned by
-(group, value), ranks are counted inside each range, and the number of rows in the ranges
-before it is added.  No task ever sees more than its range.
+The caller says which way a group is ranked.  A cross-section, one row per company, is a plain
+window: lazy, all columns on one shuffle.  ``distributed`` is for groups that no task should
+hold, such as a whole table: equal values of all columns are counted first, the distinct
+values are range-partitioned by (column, group, value) in one pass, ranks are counted inside
+each range, and the number of rows in the ranges before it is added.  Both give the same ranks.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 
 from factorloom.session import cut_lineage, small_side
 
-MAX_GROUP = 1_000_000
 _RANGE, _COUNT, _BEFORE = "_range", "_count", "_before"
 
 
@@ -29,11 +29,6 @@ def _order(column: str, descending: bool) -> Column:
     return c.desc_nulls_last() if descending else c.asc_nulls_last()
 
 
-def largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias(_COUNT))
-    return sizes.agg(F.coalesce(F.max(_COUNT), F.lit(0))).first()[0]
-
-
 def _positions(counted: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Add the number of rows ordered before each row of ``counted`` within its group.
 
@@ -63,38 +58,41 @@ def _positions(counted: DataFrame, by: Sequence[str], order: Sequence[Column]) -
     return placed.select(*rest, (F.col("l._inside") + F.col("r._start")).alias(_BEFORE))
 
 
-def _ranks_by_value(df: DataFrame, by: Sequence[str], column: str,
-                    descending: bool) -> DataFrame:
-    """(group, value) -> rank for every distinct non-NULL value."""
-    counted = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(*by, column).agg(F.count(F.lit(1)).alias(_COUNT))
-    )
-    placed = _positions(counted, by, [_order(column, descending)])
-    return placed.select(*by, column, (F.col(_BEFORE) + 1).alias("_rank"))
-
-
 def rank_distributed(df: DataFrame, by: Sequence[str], cols: Mapping[str, str],
                      descending: bool = False) -> DataFrame:
-    """Competition ranks without any group in one task; NULL values get a NULL rank."""
-    for out, column in cols.items():
-        ranks = _ranks_by_value(df, by, column, descending).withColumnRenamed("_rank", out)
+    """Competition ranks without any group in one task; NULL values get a NULL rank.
+
+    One range pass ranks the values of all columns; each column then looks its ranks up.
+    """
+    df = cut_lineage(df)
+    kinds = {df.schema[c].dataType for c in cols.values()}
+    # columns of several types are compared as doubles
+    kind = kinds.pop() if len(kinds) == 1 else "double"
+    values = [df.where(F.col(c).isNotNull()).groupBy(*by, F.col(c).cast(kind).alias("_value"))
+              .agg(F.count(F.lit(1)).alias(_COUNT)).withColumn("_column", F.lit(i))
+              for i, c in enumerate(cols.values())]
+    counted = values[0]
+    for more in values[1:]:
+        counted = counted.unionByName(more)
+    placed = cut_lineage(_positions(counted, ["_column", *by], [_order("_value", descending)]))
+    for i, (out, column) in enumerate(cols.items()):
+        ranks = placed.where(F.col("_column") == i).select(
+            *by, "_value", (F.col(_BEFORE) + 1).alias(out))
         match = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
-        match.append(F.col(f"l.{column}") == F.col(f"r.{column}"))
+        match.append(F.col(f"l.{column}").cast(kind) == F.col("r._value"))
         df = df.alias("l").join(ranks.alias("r"), match, "left").select("l.*", f"r.{out}")
     return df
 
 
 def xs_rank(df: DataFrame, by: Sequence[str], cols: Mapping[str, str] | Sequence[str],
             descending: bool = False, nullable: bool = True,
-            max_group: int = MAX_GROUP) -> DataFrame:
+            distributed: bool = False) -> DataFrame:
     """Rank columns within ``by`` groups (out -> source), ties sharing the smaller rank.
 
     ``nullable`` leaves rows without a value unranked; otherwise they share the last rank.
     """
     outs = _outputs(cols, "_rank")
-    df = cut_lineage(df)
-    if largest_group(df, by) > max_group:
+    if distributed:
         return _fill_last(rank_distributed(df, by, outs, descending), by, outs, nullable)
     ranked = {}
     for out, column in outs.items():
@@ -162,14 +160,13 @@ def zscore(df: DataFrame, by: Sequence[str], cols: Mapping[str, str] | Sequence[
 
 
 def rank_and_score(df: DataFrame, by: Sequence[str], cols: Mapping[str, str],
-                   max_group: int = MAX_GROUP) -> DataFrame:
+                   distributed: bool = False) -> DataFrame:
     """Ascending rank, then z-score of the rank (score -> source column).
 
-    Small groups keep rank and score on one partitioning; large groups go distributed.
+    The window way keeps rank and score on one partitioning.
     """
-    df = cut_lineage(df)
     ranks = {f"_r_{out}": c for out, c in cols.items()}
-    if largest_group(df, by) > max_group:
+    if distributed:
         ranked = cut_lineage(rank_distributed(df, by, ranks))
         scored = zscore(ranked, by, {out: f"_r_{out}" for out in cols})
         return scored.drop(*ranks)

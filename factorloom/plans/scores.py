@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factorloom.operators import clean, combine, quality
-from factorloom.operators.ranking import MAX_GROUP, rank_and_score, xs_rank, zscore
+from factorloom.operators.ranking import rank_and_score, xs_rank, zscore
 from factorloom.plans.panel import QUARTER
 
 BY_QUARTER = ("absolute_quarter",)
@@ -46,24 +46,23 @@ def _sum(columns: Sequence[str]):
     return F.round(total, SUM_DIGITS)
 
 
-def score_components(raw: DataFrame, pillar: str, max_group: int = MAX_GROUP) -> DataFrame:
+def score_components(raw: DataFrame, pillar: str) -> DataFrame:
     """Rank each raw measure of a pillar within its quarter and standardise the ranks."""
     scores = COMPONENTS[pillar]
     base = clean.qualified_only(raw).select(*QUARTER, *scores.values())
-    rows = rank_and_score(base, BY_QUARTER, scores, max_group).drop(*scores.values())
+    rows = rank_and_score(base, BY_QUARTER, scores).drop(*scores.values())
     return quality.apply_rules(rows, quality.component_null_rules(list(scores)))
 
 
-def pillar_score(components: DataFrame, pillar: str, max_group: int = MAX_GROUP) -> DataFrame:
+def pillar_score(components: DataFrame, pillar: str) -> DataFrame:
     """Sum of a pillar's scores, ranked and standardised once more."""
     scores, out = list(COMPONENTS[pillar]), PILLAR_SCORES[pillar]
     rows = clean.qualified_only(components).select(*QUARTER, *scores)
     rows = rows.withColumn("_sum", _sum(scores))
-    return rank_and_score(rows, BY_QUARTER, {out: "_sum"}, max_group).drop("_sum")
+    return rank_and_score(rows, BY_QUARTER, {out: "_sum"}).drop("_sum")
 
 
-def qmj_final(profitability: DataFrame, growth: DataFrame, safety: DataFrame,
-              max_group: int = MAX_GROUP) -> DataFrame:
+def qmj_final(profitability: DataFrame, growth: DataFrame, safety: DataFrame) -> DataFrame:
     """Quality score from the three pillars; a missing pillar leaves the row unscored."""
     pillars = list(PILLAR_MESSAGES)
     sides = [
@@ -72,13 +71,12 @@ def qmj_final(profitability: DataFrame, growth: DataFrame, safety: DataFrame,
         for df, score in zip((profitability, growth, safety), pillars)
     ]
     joined = combine.full_outer_chain(sides, QUARTER).withColumn("_sum", _sum(pillars))
-    rows = rank_and_score(joined, BY_QUARTER, {"qmj_score": "_sum"}, max_group).drop("_sum")
+    rows = rank_and_score(joined, BY_QUARTER, {"qmj_score": "_sum"}).drop("_sum")
     rules = [(f"{c} IS NULL", m) for c, m in PILLAR_MESSAGES.items()]
     return quality.apply_rules(rows, rules)
 
 
-def value_momentum_z(value: DataFrame, momentum: DataFrame,
-                     max_group: int = MAX_GROUP) -> DataFrame:
+def value_momentum_z(value: DataFrame, momentum: DataFrame) -> DataFrame:
     """Value and momentum scores per quarter."""
     sides = [
         clean.qualified_only(df).select(
@@ -87,22 +85,21 @@ def value_momentum_z(value: DataFrame, momentum: DataFrame,
     ]
     joined = combine.full_outer_chain(sides, QUARTER)
     scores = {"z_value": "value_raw_score", "z_momentum": "momentum_raw_score"}
-    rows = rank_and_score(joined, BY_QUARTER, scores, max_group)
+    rows = rank_and_score(joined, BY_QUARTER, scores)
     return quality.apply_rules(rows, quality.component_null_rules(list(scores)))
 
 
-def value_momentum_z_live(value: DataFrame, momentum: DataFrame,
-                          max_group: int = MAX_GROUP) -> DataFrame:
+def value_momentum_z_live(value: DataFrame, momentum: DataFrame) -> DataFrame:
     """The same over the whole market at once.
 
-    All rows form one group, so the rank switches to range partitions when the market is
-    larger than one task should hold, and the z-score uses whole-table statistics.
+    All rows form one group, so the rank runs over range partitions and the z-score uses
+    whole-table statistics.
     """
     v = clean.qualified_only(value).select("ticker", "value_recent_score")
     m = clean.qualified_only(momentum).select("ticker", "momentum_recent")
     scores = {"z_value_recent": "value_recent_score", "z_momentum_recent": "momentum_recent"}
     joined = v.join(m, "ticker", "full").withColumn("_market", F.lit(1))
     ranks = {f"_r_{z}": raw for z, raw in scores.items()}
-    ranked = xs_rank(joined, ["_market"], ranks, max_group=max_group)
+    ranked = xs_rank(joined, ["_market"], ranks, distributed=True)
     rows = zscore(ranked, [], {z: f"_r_{z}" for z in scores}).drop("_market", *ranks)
     return quality.apply_rules(rows, quality.component_null_rules(list(scores)))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factorloom.operators import clean, combine
-from factorloom.operators.ranking import MAX_GROUP, xs_rank
+from factorloom.operators.ranking import xs_rank
 from factorloom.plans.panel import QUARTER
 from factorloom.plans.scores import BY_QUARTER
 
@@ -41,11 +41,11 @@ def _pick(df: DataFrame, keys, names: dict[str, str]) -> DataFrame:
 
 
 def obt_web(qmj: DataFrame, value_momentum: DataFrame, live: DataFrame, dim_company: DataFrame,
-            fundamental_quarter: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
+            fundamental_quarter: DataFrame) -> DataFrame:
     """One wide row per scored company and quarter."""
     ok = clean.qualified_only
     ranked = xs_rank(ok(qmj), BY_QUARTER, {"qmj_rank": "qmj_score"}, descending=True,
-                     nullable=False, max_group=max_group).drop("status", "unqualified_reason")
+                     nullable=False).drop("status", "unqualified_reason")
     history = ok(value_momentum).drop("status", "unqualified_reason")
     recent = ok(live).drop("status", "unqualified_reason")
     company = _pick(ok(dim_company), ["ticker"], COMPANY_COLUMNS)

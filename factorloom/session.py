@@ -51,7 +51,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current is None:
         if not named:
-            if not context.master.startswith("local"):
+            if context.master != "local" and not context.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             named = tempfile.mkdtemp(prefix="factorloom-")
         context.setCheckpointDir(named)
@@ -81,10 +81,16 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """A side expected to be small: stored once, then broadcast if it really is.
+def small_side(df: DataFrame, max_bytes: int = 8 << 20) -> DataFrame:
+    """A side expected to be small: stored once, then broadcast if its files are.
 
     Above the bound the plain table is returned and the join stays a shuffle join.
     """
-    stored = cut_lineage(df, "side")
-    return F.broadcast(stored) if fits(stored, max_rows) else stored
+    spark = df.sparkSession
+    path = scratch_path(spark, "side")
+    df.write.parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = files.getContentSummary(folder).getLength()
+    return F.broadcast(stored) if size <= max_bytes else stored

@@ -1,28 +1,33 @@
-"""Stored tables as Parquet folders with whole-table replacement.
-
-A table is a folder of version folders (``v=000001``, ``v=000002`` ...).  A writer fills a
-new version; Spark adds ``_SUCCESS`` when the job commits, and readers take the newest version
-that has it.  A crashed or running write is therefore never visible, and a job may read a
-table and replace it in the same plan.  One writer per table at a time, as in a scheduled run.
+"""Stored tables: Parquet folders named by a manifest.
+
+Every write fills a folder of its own.  A version of a table is a manifest, one small JSON
+file with the table's schema and the folders that make it up; putting the manifest in place
+is the commit.  Readers take the newest manifest, so a crashed or running write is never
+visible, a job may read a table and replace it in the same plan, and a merge or an append
+changes nothing that an older version shows.  One writer per table at a time, as in a
+scheduled run.
 """
 
 from __future__ import annotations
 
+import json
 import math
+import uuid
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from factorloom.catalogue import TableSpec
 from factorloom.operators.incremental import merge_latest
-from factorloom.session import cut_lineage, fits, small_side
 
 # Target file size, retention of the audit log.
 TARGET_MB = 128
 KEEP_DAYS = 60
-# Largest table exported as a single CSV file.
-SINGLE_FILE_ROWS = 500_000
+# The folder level that tells writes apart.
+WRITE = "write__"
 
 
 class TableStore:
@@ -32,6 +37,8 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
 
+    # Files and manifests -------------------------------------------------------------------
+
     def _path(self, *parts: str):
         jvm = self.spark._jvm
         return jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
@@ -40,64 +47,104 @@ class TableStore:
         conf = self.spark._jsc.hadoopConfiguration()
         return self._path().getFileSystem(conf)
 
-    def versions(self, name: str, committed: bool = True) -> list[int]:
-        fs, folder = self._files(), self._path(name)
+    def _names(self, *parts: str) -> list[str]:
+        fs, folder = self._files(), self._path(*parts)
         if not fs.exists(folder):
             return []
-        found = []
-        for entry in fs.listStatus(folder):
-            label = entry.getPath().getName()
-            done = self._path(name, label, "_SUCCESS")
-            if label.startswith("v=") and (not committed or fs.exists(done)):
-                found.append(int(label[2:]))
-        return sorted(found)
+        return [entry.getPath().getName() for entry in fs.listStatus(folder)]
+
+    def versions(self, name: str) -> list[int]:
+        return sorted(int(n[2:8]) for n in self._names(name)
+                      if n.startswith("v=") and n.endswith(".json"))
 
     def exists(self, name: str) -> bool:
         return bool(self.versions(name))
 
-    def current_path(self, name: str) -> str:
+    def _manifest(self, name: str, version: int | None = None) -> dict:
         versions = self.versions(name)
         if not versions:
             raise FileNotFoundError(f"table {name!r} has no committed version")
-        return f"{self.root}/{name}/v={versions[-1]:06d}"
+        stream = self._files().open(self._path(name, f"v={version or versions[-1]:06d}.json"))
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return json.loads(text)
+
+    def _commit(self, name: str, schema: StructType, parts: list[dict]) -> None:
+        """Put a manifest in place, by renaming a finished file."""
+        fs = self._files()
+        versions = self.versions(name)
+        final = self._path(name, f"v={(versions[-1] if versions else 0) + 1:06d}.json")
+        draft = self._path(name, f"draft-{uuid.uuid4().hex}")
+        out = fs.create(draft, False)
+        out.write(bytearray(json.dumps(
+            {"schema": schema.jsonValue(), "parts": parts}).encode()))
+        out.close()
+        if fs.exists(final) or not fs.rename(draft, final):
+            raise RuntimeError(f"another writer has committed to table {name!r}")
+
+    def _folders(self, name: str, write: str, depth: int) -> list[str]:
+        """The partition folders of one write, as paths below it; all of it without any."""
+        found = [""]
+        for _ in range(depth):
+            found = [f"{f}/{n}".lstrip("/") for f in found
+                     for n in self._names(name, "data", write, *filter(None, [f])) if "=" in n]
+        return found
+
+    def _write(self, df: DataFrame, spec: TableSpec, batch: str | None = None) -> list[dict]:
+        """Write a folder of its own; what a manifest says of it."""
+        write = f"{WRITE}={uuid.uuid4().hex}"
+        order = [F.desc_nulls_last(c) for c in spec.sort_desc if c in df.columns]
+        if spec.partition_by and order:
+            # The writer wants partition columns first; the declared order follows them.
+            df = df.sortWithinPartitions(*spec.partition_by, *order)
+        elif order:
+            df = df.sortWithinPartitions(*order)
+        writer = df.write
+        if spec.partition_by:
+            writer = writer.partitionBy(*spec.partition_by)
+        writer.parquet(f"{self.root}/{spec.name}/data/{write}")
+        return [{"write": write, "folder": f, "batch": batch}
+                for f in self._folders(spec.name, write, len(spec.partition_by))]
 
-    def _next_path(self, name: str) -> str:
-        started = self.versions(name, committed=False)
-        return f"{self.root}/{name}/v={(started[-1] if started else 0) + 1:06d}"
+    def _load(self, name: str, schema: StructType, parts: list[dict]) -> DataFrame:
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        base = f"{self.root}/{name}/data"
+        paths = [f"{base}/{p['write']}/{p['folder']}".rstrip("/") for p in parts]
+        loaded = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+        return loaded.select(*[F.col(f"`{c}`") for c in schema.names])
 
-    def read(self, name: str, evolving: bool = False) -> DataFrame:
-        """Newest version; ``evolving`` merges the schemas of files appended with new columns,
-        which reads every file's footer."""
-        reader = self.spark.read.option("mergeSchema", str(evolving).lower())
-        return reader.parquet(self.current_path(name))
+    # Reading -------------------------------------------------------------------------------
+
+    def read(self, name: str, version: int | None = None) -> DataFrame:
+        """The newest version, or an older one, with every column the table has had."""
+        manifest = self._manifest(name, version)
+        return self._load(name, StructType.fromJson(manifest["schema"]), manifest["parts"])
 
     def read_or_none(self, name: str) -> DataFrame | None:
         return self.read(name) if self.exists(name) else None
 
+    def size_bytes(self, name: str) -> int:
+        fs = self._files()
+        return sum(fs.getContentSummary(self._path(*filter(None, (
+            name, "data", p["write"], p["folder"])))).getLength()
+            for p in self._manifest(name)["parts"])
+
+    def file_count(self, name: str) -> int:
+        return len(self.read(name).inputFiles())
+
+    # Writing -------------------------------------------------------------------------------
+
     def create(self, spec: TableSpec) -> None:
         """First, empty version of a declared table."""
         if not self.exists(spec.name):
-            self._write(self.spark.createDataFrame([], spec.schema), spec,
-                        self._next_path(spec.name), "errorifexists")
-
-    def _write(self, df: DataFrame, spec: TableSpec, path: str, mode: str,
-               touched_only: bool = False) -> None:
-        order = [F.desc_nulls_last(c) for c in spec.sort_desc if c in df.columns]
-        if spec.partition_by and order:
-            # The writer wants partition columns first; the declared order follows them.
-            df = df.sortWithinPartitions(*spec.partition_by, *order)
-        elif order:
-            df = df.sortWithinPartitions(*order)
-        writer = df.write.mode(mode)
-        if touched_only:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
-        if spec.partition_by:
-            writer = writer.partitionBy(*spec.partition_by)
-        writer.parquet(path)
+            self._commit(spec.name, self.spark.createDataFrame([], spec.schema).schema, [])
 
     def overwrite(self, df: DataFrame, spec: TableSpec) -> None:
         """Replace a table; readers keep the old version until the new one is complete."""
-        self._write(df, spec, self._next_path(spec.name), "errorifexists")
+        self._commit(spec.name, _plain(df, spec), self._write(df, spec))
 
     def swap(self, df: DataFrame, name: str, sort_by: tuple[str, ...] = ()) -> None:
         """Replace a serving table, range-sorted by its lookup columns.
@@ -106,71 +153,129 @@ class TableStore:
         """
         if sort_by:
             df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
-        self._write(df, TableSpec(name, "", (), ()), self._next_path(name),
-                    "errorifexists")
+        self.overwrite(df, TableSpec(name, "", (), ()))
 
-    def append_evolve(self, df: DataFrame, spec: TableSpec) -> None:
+    def append_evolve(self, df: DataFrame, spec: TableSpec, batch: str | None = None) -> None:
         """Append by column name; new columns widen the table, missing ones read as NULL.
 
-        A table that does not exist yet starts from its declared schema.
+        A table that does not exist yet starts from its declared schema.  A batch that is
+        appended again under its name replaces its first try.
         """
-        if not self.exists(spec.name):
-            self.create(spec)
-        known = {f.name: f.dataType for f in spec.schema}
-        typed = df.select(*[
-            F.col(c).cast(known[c]).alias(c) if c in known else F.col(c) for c in df.columns
-        ])
-        missing = [F.lit(None).cast(t).alias(c) for c, t in known.items() if c not in df.columns]
-        self._write(typed.select("*", *missing), spec, self.current_path(spec.name), "append")
+        self.create(spec)
+        manifest = self._manifest(spec.name)
+        schema = StructType.fromJson(manifest["schema"])
+        typed = _typed(df, schema)
+        kept = [p for p in manifest["parts"] if batch is None or p["batch"] != batch]
+        self._commit(spec.name, _widened(schema, _plain(typed, spec)),
+                     kept + self._write(typed, spec, batch))
 
     def merge(self, source: DataFrame, spec: TableSpec, keys: list[str]) -> None:
         """Upsert rows, one per key, into a table.
 
         When the partition columns belong to the key, only partitions the source touches are
-        read and rewritten: the new rows are staged first, then each touched partition is
-        replaced.  Otherwise the merged table becomes the next version.
+        read and rewritten.  Otherwise the merged table becomes the next version.
         """
-        target = self.read_or_none(spec.name)
-        if target is None:
+        if not self.exists(spec.name):
             self.overwrite(source, spec)
         elif spec.partition_by and set(spec.partition_by) <= set(keys):
-            parts = list(spec.partition_by)
-            touched = small_side(source.select(*parts).distinct())
-            affected = target.join(touched, parts, "left_semi")
-            staged = cut_lineage(merge_latest(affected, source, keys), "merge")
-            self._write(staged, spec, self.current_path(spec.name), "overwrite", touched_only=True)
+            self.update_touched(source, spec, lambda held, new: merge_latest(held, new, keys))
         else:
-            self.overwrite(merge_latest(target, source, keys), spec)
+            held, new = _aligned(self.read(spec.name), source)
+            self.overwrite(merge_latest(held, new, keys), spec)
 
-    def size_bytes(self, name: str) -> int:
-        summary = self._files().getContentSummary(self._path(name, self.current_path(name)
-                                                             .rsplit("/", 1)[1]))
-        return summary.getLength()
+    def update_touched(self, source: DataFrame, spec: TableSpec,
+                       combine: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        """Replace the partitions in which ``source`` has rows by ``combine(held, source)``.
 
-    def file_count(self, name: str) -> int:
-        return len(self.read(name).inputFiles())
+        The source is stored first; its partition folders, NULL ones too, name those to read.
+        """
+        manifest = self._manifest(spec.name)
+        schema = _widened(StructType.fromJson(manifest["schema"]), _plain(source, spec))
+        staged = self._write(_typed(source, schema), spec)
+        touched = {p["folder"] for p in staged}
+        held = [p for p in manifest["parts"] if p["folder"] in touched]
+        rest = [p for p in manifest["parts"] if p["folder"] not in touched]
+        merged = combine(self._load(spec.name, schema, held),
+                         self._load(spec.name, schema, staged))
+        self._commit(spec.name, schema, rest + self._write(merged, spec))
+
+    # Upkeep --------------------------------------------------------------------------------
 
     def compact(self, spec: TableSpec, target_mb: int = TARGET_MB) -> None:
-        """Rewrite a table into files of about the target size."""
+        """Rewrite a table into files of about the target size, in every partition."""
         df = self.read(spec.name)
         files = max(1, math.ceil(self.size_bytes(spec.name) / (target_mb * 1024 * 1024)))
         if spec.partition_by:
-            # Rebalancing on the partition columns splits a large partition over tasks.
-            df = df.hint("rebalance", *[F.col(c) for c in spec.partition_by])
+            by = list(spec.partition_by)
+            sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+            sizes = sizes.withColumn("_files", F.ceil(
+                F.col("_rows") * files / F.lit(max(1, df.count()))))
+            match = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
+            rows = df.alias("l").join(sizes.alias("r"), match).select("l.*", "r._files")
+            slot = F.pmod(F.monotonically_increasing_id(), F.col("_files"))
+            df = rows.withColumn("_slot", slot).repartition(*by, "_slot").drop("_files", "_slot")
         else:
             df = df.repartition(files)
         self.overwrite(df, spec)
 
+    def expire_versions(self, name: str, keep: int = 2) -> None:
+        """Forget all but the newest versions and delete the folders only they used."""
+        fs, versions = self._files(), self.versions(name)
+        live = {(p["write"], p["folder"]) for v in versions[-keep:]
+                for p in self._manifest(name, v)["parts"]}
+        old = {(p["write"], p["folder"]) for v in versions[:-keep]
+               for p in self._manifest(name, v)["parts"]}
+        for v in versions[:-keep]:
+            fs.delete(self._path(name, f"v={v:06d}.json"), False)
+        for write, folder in old - live:
+            fs.delete(self._path(*filter(None, (name, "data", write, folder))), True)
+
+
+def _plain(df: DataFrame, spec: TableSpec) -> StructType:
+    """The schema as it is read back: all columns nullable, partition columns last."""
+    fields = {f.name: f for f in df.schema.fields}
+    names = [c for c in fields if c not in spec.partition_by] + list(spec.partition_by)
+    out = StructType()
+    for c in names:
+        out.add(c, fields[c].dataType, True)
+    return out
+
+
+def _widened(schema: StructType, other: StructType) -> StructType:
+    """``schema`` and the columns only ``other`` has."""
+    out = StructType(list(schema.fields))
+    for f in other.fields:
+        if f.name not in schema.names:
+            out.add(f.name, f.dataType, True)
+    return out
+
+
+def _typed(df: DataFrame, schema: StructType) -> DataFrame:
+    """All columns of ``schema`` by name and type, then those only ``df`` has."""
+    known = {f.name: f.dataType for f in schema.fields}
+    return df.select(
+        *[F.col(f"`{c}`").cast(t).alias(c) if c in df.columns else F.lit(None).cast(t).alias(c)
+          for c, t in known.items()],
+        *[F.col(f"`{c}`") for c in df.columns if c not in known])
+
+
+def _aligned(held: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both with the columns of either, in one order and the types of ``held``."""
+    schema = _widened(held.schema, new.schema)
+    return _typed(held, schema), _typed(new, schema)
+
 
 def expire_partitions(df: DataFrame, ts: str, as_of: date, keep_days: int = KEEP_DAYS) -> DataFrame:
     """Rows of the retained days; on a day-partitioned table old folders are not read."""
     return df.where(F.to_date(F.col(ts)) >= F.date_sub(F.lit(as_of), keep_days))
 
 
-def export_csv(df: DataFrame, path: str, order: list | None = None) -> None:
-    """CSV with a header: one file for a table of screen size, ordered shards beyond that."""
+def export_csv(df: DataFrame, path: str, order: list | None = None,
+               single_file: bool = False) -> None:
+    """CSV with a header, in ordered shards; ``single_file`` asks for one file, written by
+    one task."""
     rows = df.orderBy(*order) if order else df
-    if fits(df, SINGLE_FILE_ROWS):
+    if single_file:
         rows = rows.coalesce(1)
     rows.write.mode("errorifexists").csv(path, header=True)
 

@@ -19,6 +19,9 @@ MESSAGE_SCHEMA = ("ticker string, batch_id string, data_type string, source stri
                   " created_at_ts string, url string")
 FILES_PER_TRIGGER = 10
 RETENTION_HOURS = 24
+# Folders of the compacted copy, and the column that names them.
+LOG_BUCKETS = 64
+LOG_BUCKET = "_key_bucket"
 
 
 def publish(tasks: DataFrame, topic: str, key: str = "ticker") -> None:
@@ -131,15 +134,29 @@ def compact_log(log: DataFrame, key: str, ts: str, as_of: datetime,
 
 def compact_stream(messages: DataFrame, key: str, ts: str, folder: str, checkpoint: str,
                    as_of: datetime, hours: int = RETENTION_HOURS) -> StreamingQuery:
-    """Keep a compacted copy of a topic: each batch is merged into the newest stored version."""
+    """Keep a compacted copy of a topic: each batch replaces the key buckets it touches.
+
+    The copy is split by a hash of the key, in ``LOG_BUCKETS`` folders; only the versions that
+    a reader may still hold are kept.
+    """
+    from factorloom.catalogue import TableSpec
     from factorloom.sources.store import TableStore
 
     store = TableStore(messages.sparkSession, folder)
+    spec = TableSpec("log", "", (LOG_BUCKET,), ())
+    bucket = F.pmod(F.xxhash64(key), F.lit(LOG_BUCKETS)).cast("int")
+
+    def compacted(rows: DataFrame) -> DataFrame:
+        return compact_log(rows.drop(LOG_BUCKET), key, ts, as_of, hours).withColumn(
+            LOG_BUCKET, bucket)
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        held = store.read_or_none("log")
-        rows = batch if held is None else held.unionByName(batch)
-        store.swap(compact_log(rows, key, ts, as_of, hours), "log")
+        if store.exists("log"):
+            store.update_touched(batch.withColumn(LOG_BUCKET, bucket), spec,
+                                 lambda held, new: compacted(held.unionByName(new)))
+        else:
+            store.overwrite(compacted(batch), spec)
+        store.expire_versions("log")
 
     return (
         messages.writeStream.foreachBatch(merge)

@@ -87,7 +87,7 @@ def customers_after(spark, sf_dir):
     rows = customers_before(spark, sf_dir).where("c_custkey % 10 <> 1").withColumn(
         "c_mktsegment", F.expr("CASE WHEN c_custkey % 10 = 0 THEN 'MOVED' ELSE c_mktsegment END"))
     added = customers_before(spark, sf_dir).where("c_custkey % 10 = 2").withColumn(
-        "c_custkey", F.col("c_custkey") + 1_000_000)
+        "c_custkey", F.col("c_custkey") + 1_000_000_000_000)
     return rows.unionByName(added)
 
 
@@ -99,7 +99,7 @@ UNION ALL SELECT c_custkey, c_mktsegment, {T0_SQL}, {T1_SQL}, FALSE FROM custome
 WHERE c_custkey % 10 = 0 AND c_mktsegment <> 'MOVED'
 UNION ALL SELECT c_custkey, 'MOVED', {T1_SQL}, {NEVER}, FALSE FROM customer
 WHERE c_custkey % 10 = 0
-UNION ALL SELECT c_custkey + 1000000, c_mktsegment, {T1_SQL}, {NEVER}, FALSE FROM customer
+UNION ALL SELECT c_custkey + 1000000000000, c_mktsegment, {T1_SQL}, {NEVER}, FALSE FROM customer
 WHERE c_custkey % 10 = 2""")
 
 

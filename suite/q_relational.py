@@ -240,10 +240,23 @@ def join_inner_restrict(spark, sf_dir):
                                ["o_custkey"]).select("o_orderkey")
 
 
-@query("join_date_equi", f"SELECT ticker, date, {rs('stock_ret', 'mkt_ret')} FROM x_daily")
+@query("join_date_equi", """SELECT ticker, count(*) AS n_days, min(date) AS first_day,
+    max(date) AS last_day, count(mkt_ret) AS n_market,
+    round(CAST(sum(CAST(round(stock_ret, 6) AS DECIMAL(18, 6))) AS DOUBLE), 6) + 0.0 AS stock_sum,
+    round(CAST(sum(CAST(round(mkt_ret, 6) AS DECIMAL(18, 6))) AS DOUBLE), 6) + 0.0 AS market_sum
+    FROM x_daily GROUP BY ticker""")
 def join_date_equi(spark, sf_dir):
+    """Each day's return beside the market's, summed up per company."""
     rows = factors.daily_returns(models(spark, sf_dir).quotes(), CTX)
-    return rounded(rows, "stock_ret", "mkt_ret")
+
+    def total(column: str):
+        return F.sum(F.round(column, 6).cast("decimal(18,6)")).cast("double")
+
+    sums = rows.groupBy("ticker").agg(
+        row_count().alias("n_days"), F.min("date").alias("first_day"), F.max("date").alias("last_day"),
+        F.count("mkt_ret").alias("n_market"), total("stock_ret").alias("stock_sum"),
+        total("mkt_ret").alias("market_sum"))
+    return rounded(sums, "stock_sum", "market_sum")
 
 
 @query("join_lookup_left", """SELECT o_orderkey, risk_free_rate FROM (SELECT o_orderkey,
@@ -459,7 +472,7 @@ def rank_cross_section(spark, sf_dir):
     """Three groups hold all rows, so the rank runs over range partitions."""
     rows = ranking.xs_rank(
         lines(spark, sf_dir), ["l_returnflag"],
-        {"price_rank": "l_extendedprice", "quantity_rank": "l_quantity"}, max_group=1_000)
+        {"price_rank": "l_extendedprice", "quantity_rank": "l_quantity"}, distributed=True)
     return rows.drop("l_returnflag", "l_quantity")
 
 

@@ -108,7 +108,7 @@ def stream_compact_latest(spark, sf_dir):
     as_of = datetime(2024, 1, 30, tzinfo=timezone.utc)
     claims.compact_stream(stream, "user_id", "ts", folder, mark, as_of,
                           hours=240).awaitTermination()
-    return TableStore(spark, folder).read("log")
+    return TableStore(spark, folder).read("log").drop(claims.LOG_BUCKET)
 
 
 def query_events(spark, sf_dir):

@@ -262,15 +262,15 @@ def scored(spark):
 def test_distributed_rank_equals_window(spark, descending, nullable):
     df = scored(spark)
     small, large = (
-        ranking.xs_rank(df, ["g"], {"r": "v"}, descending, nullable, max_group=m)
-        for m in (10**6, 10))
+        ranking.xs_rank(df, ["g"], {"r": "v"}, descending, nullable, distributed=d)
+        for d in (False, True))
     assert rows(small, "id", "r") == rows(large, "id", "r")
 
 
 def test_rank_and_score_paths_agree(spark):
     df = scored(spark)
     a = ranking.rank_and_score(df, ["g"], {"z": "v"}).select("id", F.round("z", 9))
-    b = ranking.rank_and_score(df, ["g"], {"z": "v"}, max_group=10).select("id", F.round("z", 9))
+    b = ranking.rank_and_score(df, ["g"], {"z": "v"}, distributed=True).select("id", F.round("z", 9))
     assert rows(a) == rows(b)
     stats = ranking.rank_and_score(df, ["g"], {"z": "v"}).groupBy("g").agg(
         F.avg("z").alias("m"), F.stddev_samp("z").alias("s"))
@@ -377,11 +377,72 @@ def test_store_versions_and_crash(spark, tmp_path):
     held.overwrite(spark.range(3), spec)
     held.overwrite(held.read("t").where("id > 0"), spec)
     assert held.read("t").count() == 2 and held.versions("t") == [1, 2]
-    # A write that never committed leaves a folder without the success marker.
-    (tmp_path / "tables" / "t" / "v=000003").mkdir()
-    assert held.read("t").count() == 2
+    # A write that never committed leaves a folder no manifest names.
+    spark.range(100).write.parquet(str(tmp_path / "tables" / "t" / "data" / "write__=dead"))
+    assert held.read("t").count() == 2 and held.read("t", 1).count() == 3
     held.overwrite(spark.range(9), spec)
-    assert held.versions("t")[-1] == 4 and held.read("t").count() == 9
+    assert held.versions("t")[-1] == 3 and held.read("t").count() == 9
+    held.expire_versions("t", keep=1)
+    assert held.versions("t") == [3] and held.read("t").count() == 9
+
+
+def test_merge_keeps_null_partitions_and_null_keys(spark, tmp_path):
+    held = store.TableStore(spark, str(tmp_path / "tables"))
+    spec = TableSpec("t", "", ("p",), ())
+    kind = "k int, p int, v int"
+    held.merge(spark.createDataFrame([(1, None, 1), (2, 2000, 1), (None, None, 1)], kind), spec,
+               ["k", "p"])
+    held.merge(spark.createDataFrame([(3, None, 3), (None, None, 9)], kind), spec, ["k", "p"])
+    assert rows(held.read("t"), "k", "p", "v") == rows(spark.createDataFrame(
+        [(1, None, 1), (2, 2000, 1), (3, None, 3), (None, None, 9)], kind), "k", "p", "v")
+
+
+def test_merge_and_compaction_keep_evolved_columns(spark, tmp_path):
+    held = store.TableStore(spark, str(tmp_path / "tables"))
+    spec = TableSpec("t", "k int, p int", ("p",), ("k",))
+    held.append_evolve(spark.createDataFrame([(1, 1), (2, 2)], "k int, p int"), spec)
+    held.append_evolve(spark.createDataFrame([(3, 1, "x")], "k int, p int, b string"), spec)
+    held.compact(spec)
+    held.merge(spark.createDataFrame([(4, 2)], "k int, p int"), spec, ["k", "p"])
+    held.compact(spec)
+    assert rows(held.read("t"), "k", "p", "b") == [
+        (1, 1, None), (2, 2, None), (3, 1, "x"), (4, 2, None)]
+
+
+def test_failed_merge_leaves_the_old_state(spark, tmp_path, monkeypatch):
+    held = store.TableStore(spark, str(tmp_path / "tables"))
+    spec = TableSpec("t", "", ("p",), ())
+    kind = "k int, p string"
+    held.merge(spark.createDataFrame([(1, "a")], kind), spec, ["k", "p"])
+
+    def lost(*_):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(held, "_commit", lost)
+    with pytest.raises(RuntimeError):
+        held.merge(spark.createDataFrame([(2, "a")], kind), spec, ["k", "p"])
+    monkeypatch.undo()
+    assert rows(held.read("t"), "k", "p") == [(1, "a")]
+
+
+def test_batch_appended_twice_is_held_once(spark, tmp_path):
+    held = store.TableStore(spark, str(tmp_path / "tables"))
+    spec = TableSpec("t", "k int", (), ())
+    held.append_evolve(spark.createDataFrame([(1,)], "k int"), spec, batch="b1")
+    for _ in range(2):
+        held.append_evolve(spark.createDataFrame([(2,), (3,)], "k int"), spec, batch="b2")
+    assert rows(held.read("t"), "k") == [(1,), (2,), (3,)]
+
+
+def test_compaction_follows_partition_sizes(spark, tmp_path):
+    held = store.TableStore(spark, str(tmp_path / "tables"))
+    spec = TableSpec("t", "", ("p",), ())
+    df = spark.range(200_000).selectExpr("id", "uuid() AS u", "CAST(id < 1000 AS int) AS p")
+    held.overwrite(df.repartition(8), spec)
+    held.compact(spec, target_mb=1)
+    files = [f.split("/")[-2] for f in held.read("t").inputFiles()]
+    assert files.count("p=1") == 1 and 4 <= files.count("p=0") <= 16
+    assert held.read("t").count() == 200_000
 
 
 def test_partitioned_merge_rewrites_touched_only(spark, tmp_path):
@@ -404,7 +465,7 @@ def test_append_evolve_adds_columns(spark, tmp_path):
                                              " data string"), spec)
     held.append_evolve(spark.createDataFrame([("b", 2021, "{}", 1)], "ticker string, year int,"
                                              " data string, extra int"), spec)
-    got = held.read(spec.name, evolving=True)
+    got = held.read(spec.name)
     assert rows(got, "ticker", "year", "extra") == [("a", 2020, None), ("b", 2021, 1)]
     assert "bronze_ingested_time" in got.columns
 
