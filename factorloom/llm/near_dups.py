@@ -8,8 +8,9 @@ such collisions; a candidate pair far below the threshold is dropped on that est
 other one is checked on its full sets.
 
 Sets that are equal are one *class* from the start and take part once.  In a busy band all
-classes are first linked with its least one, a number of pairs linear in its size; only pairs
-that those links have not connected are looked at further.
+classes are first compared with its most central one, a number of pairs linear in its size;
+those that the links have not connected are then compared in tasks of bounded size that
+return links between connected parts, never pairs.
 
 A pair at the threshold agrees on none of the 42 bands with probability 1e-10, and falls below the
 estimate's margin with 1e-7.
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factorloom.llm.frames import components, fresh, stored
@@ -39,6 +40,8 @@ BAND = 3
 MANTISSA = 10
 # A pair whose estimate is this far below the threshold is no candidate: five deviations.
 MARGIN = 0.2
+# Texts that one side of a comparison task holds.
+CHUNK_BYTES = 8 << 20
 
 _SEEDS = mix(np.arange(1, 2 * REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -192,6 +195,106 @@ def _with_component(pairs: DataFrame, comps: DataFrame) -> DataFrame:
             .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
 
 
+def _own_shingles(texts: DataFrame) -> DataFrame:
+    """(node, own): how many shingles of each class no other class of ``texts`` has.
+
+    One aggregate over the shingles, which combines on the map side: a shingle of a third of all
+    classes is a row per map task.
+    """
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in pieces(batch.column(1)):
+                sets, offsets = shingles(Words(batch.column(1).slice(a, b - a), BLANKS, True))
+                nodes = np.repeat(batch.column(0).slice(a, b - a).to_numpy(), np.diff(offsets))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(nodes), pa.array(sets.view(np.int64))], names=["node", "shingle"])
+
+    rows = texts.select("node", "text").mapInArrow(explode, "node long, shingle long")
+    return (rows.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last"))
+            .where("node = last").groupBy("node").agg(F.count(F.lit(1)).alias("own")))
+
+
+def _may_link(a: Column, b: Column, threshold: int) -> Column:
+    """Whether two classes (n, shared) may reach the threshold: they have no more shingles in
+    common than either shares with anyone."""
+    most = F.least(a["shared"], b["shared"])
+    return F.lit(100) * most >= F.lit(threshold) * (a["n"] + b["n"] - most)
+
+
+def _with_leaders(members: DataFrame) -> DataFrame:
+    """``members`` (band, at, weight) of the bands with two or more, and each band's leader: the
+    class of the greatest weight."""
+    leaders = members.groupBy("band").agg(
+        F.max(F.struct("weight", (-F.col("at.node")).alias("order"), "at")).alias("top"),
+        F.count(F.lit(1)).alias("size"))
+    return members.join(leaders.where("size > 1").select(
+        "band", F.col("top.weight").alias("leader_weight"), F.col("top.at").alias("leader")),
+        "band").drop("weight")
+
+
+def _rest_links(members: DataFrame, comps: DataFrame, texts: DataFrame,
+                threshold: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Links (a, b) between classes of one band that the leaders have not connected.
+
+    In each band the largest connected part is set against all others.  Bands with the same
+    largest part are one task, cut on either side into chunks of bounded bytes; a task
+    compares full sets over an index of their shingles, and returns one link at most from a
+    class to each connected part, never the pairs.
+    """
+    parts = members.join(comps, F.col("at.node") == comps["id"], "left").select(
+        "band", F.col("at.node").alias("node"), F.coalesce("component", "at.node").alias("part"))
+    sizes = parts.groupBy("band", "part").agg(F.count(F.lit(1)).alias("size"))
+    major = (sizes.groupBy("band").agg(F.max(F.struct("size", "part")).alias("top"),
+                                       F.count(F.lit(1)).alias("parts"))
+             .where("parts > 1").select("band", F.col("top.part").alias("major")))
+    apart = stored(parts.join(major, "band").select("major", "node", "part").distinct()
+                   .join(texts.select("node", "text"), "node"), "apart")
+    size = F.octet_length("text")
+    chunks = apart.groupBy("major").agg(
+        F.ceil(F.sum(size) / chunk_bytes).cast("int").alias("all_chunks"),
+        F.ceil(F.sum(F.when(F.col("part") != F.col("major"), size)) / chunk_bytes).cast("int")
+        .alias("odd_chunks"))
+    dealt = apart.join(chunks, "major")
+
+    def side(rows: DataFrame, odd: bool) -> DataFrame:
+        own, other = ("odd_chunks", "all_chunks") if odd else ("all_chunks", "odd_chunks")
+        mine = F.pmod(F.xxhash64("node"), F.col(own)).cast("int")
+        theirs = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        return rows.select("major", (mine if odd else theirs).alias("i"),
+                           (theirs if odd else mine).alias("j"), F.lit(odd).alias("odd"),
+                           "node", "part", "text")
+
+    def match(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        odd = rows["odd"].to_numpy()
+        left, right = rows.filter(pa.array(odd)), rows.filter(pa.array(~odd))
+        ours, theirs = (shingles(Words(x["text"].combine_chunks(), BLANKS, True))
+                        if len(x) else (np.zeros(0, np.uint64), np.zeros(1, np.int64))
+                        for x in (left, right))
+        owner = np.repeat(np.arange(len(right)), np.diff(theirs[1]))
+        order = np.argsort(theirs[0], kind="stable")
+        known, owner = theirs[0][order], owner[order]
+        n, part = np.diff(theirs[1]), right["part"].to_numpy()
+        node = right["node"].to_numpy()
+        a, b = [], []
+        for row in range(len(left)):
+            own = ours[0][ours[1][row]:ours[1][row + 1]]
+            low, high = np.searchsorted(known, own), np.searchsorted(known, own, "right")
+            size = high - low
+            at = np.repeat(low - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
+            common = np.bincount(owner[at], minlength=len(right))
+            near = np.flatnonzero((100 * common >= threshold * (len(own) + n - common))
+                                  & (part != left["part"][row].as_py()))
+            near = near[np.unique(part[near], return_index=True)[1]]
+            a += [left["node"][row].as_py()] * len(near)
+            b += node[near].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    both = side(dealt.where("part <> major"), True).union(side(dealt, False))
+    return stored(both.groupBy("major", "i", "j").applyInArrow(match, "a long, b long"),
+                  "near-links")
+
+
 def link(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Every row of ``docs`` (doc_id, text): doc_id, key, n_shingles, component_id, kept.
 
@@ -208,32 +311,33 @@ def link(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         .select("c1", "c2", F.col("head.doc_id").alias("least"), F.col("head.key").alias("key"),
                 "n", "registers", F.monotonically_increasing_id().alias("node")), "classes")
     bands = _bands(nodes)
-    busy = bands.groupBy("band").agg(F.min("node").alias("leader"), F.count("node").alias("size"))
-    members = stored(bands.join(busy.where("size > 1"), "band"), "members")
-    heads = members.select("node").distinct().join(nodes, "node").select(
-        "node", "least", F.col("key").alias("head_key"), "n", "registers")
+    busy = bands.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = stored(bands.join(busy, "band"), "members")
+    # the more classes share bands with one, the nearer it is to the centre of its cloud
+    weights = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    heads = weights.join(nodes, "node").select(
+        "node", "weight", "least", F.col("key").alias("head_key"), "n", "registers")
     texts = stored(
         docs.join(heads, docs["doc_id"].eqNullSafe(heads["least"])
                   & (docs["key"] == heads["head_key"]))
-        .select("node", "text", "n", "registers").dropDuplicates(["node"]), "near-texts")
-
-    stars = stored(members.where("node <> leader").select(
-        F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "stars")
-    links = _confirm(stars.groupBy("a").agg(F.min("b").alias("b")), texts, threshold)
+        .select("node", "weight", "text", "n", "registers").dropDuplicates(["node"]), "near-texts")
+    # a text that is mostly its own reaches the threshold with no other
+    shared = F.col("n") - F.coalesce("own", F.lit(0))
+    able = texts.select("node", "n", "weight").join(_own_shingles(texts), "node", "left").select(
+        "node", "weight", F.struct("node", "n", shared.alias("shared")).alias("at")).where(
+        F.lit(100) * F.col("at.shared") >= F.lit(threshold) * F.col("at.n"))
+    members = stored(_with_leaders(members.join(able, "node").select("band", "at", "weight")), "led")
+
+    stars = stored(members.where("at.node <> leader.node")
+                   .where(_may_link(F.col("at"), F.col("leader"), threshold))
+                   .groupBy(F.col("at.node").alias("a"), F.col("leader.node").alias("b"))
+                   .agg(F.max("leader_weight").alias("weight")), "stars")
+    best = stars.groupBy("a").agg(F.max_by("b", "weight").alias("b"))
+    links = _confirm(best, texts, threshold)
     links = links.unionByName(
         _confirm(_with_component(stars, components(links)), texts, threshold))
     comps = components(links)
-    # members of one band that are still apart
-    parts = members.join(comps, members["node"] == comps["id"], "left").select(
-        "band", "node", "leader", F.coalesce("component", "node").alias("part"))
-    split = parts.groupBy("band").agg(F.min("part").alias("p"), F.max("part").alias("q"))
-    apart = stored(parts.join(split.where("p < q").select("band"), "band"), "apart")
-    left = apart.where("node <> leader").select("band", F.col("node").alias("a"),
-                                                F.col("part").alias("pa"))
-    right = apart.where("node <> leader").select("band", F.col("node").alias("b"),
-                                                 F.col("part").alias("pb"))
-    rest = left.join(right, "band").where("a < b and pa <> pb").select("a", "b").distinct()
-    comps = components(links.unionByName(_confirm(rest, texts, threshold)))
+    comps = components(links.unionByName(_rest_links(members, comps, texts, threshold)))
 
     groups = nodes.join(comps, nodes["node"] == comps["id"], "left").select(
         "c1", "c2", "least", F.coalesce("component", "node").alias("part"))
