@@ -51,93 +51,104 @@ def rolling_sum(df: DataFrame, key: Sequence[str], order: str, columns: Mapping[
     return df.withColumns({out: F.sum(c).over(frame) for out, c in columns.items()})
 
 
-class _Moments:
-    """Rolling power sums of centred columns.
+# Longest frame that is added up anew for every row.
+SHORT_FRAME = 64
 
-    A sliding frame re-adds its rows for every output row; a running sum minus the running
-    sum ``n`` rows earlier costs the same for any frame length.  Columns are centred by their
-    entity mean first, which keeps the difference accurate.
-    """
-
-    def __init__(self, key: Sequence[str], order: str, n: int):
-        self.whole = W.partitionBy(*key)
-        self.series = _series(key, order)
-        self.n = n
-
-    def add(self, df: DataFrame, sums: Mapping[str, Column]) -> DataFrame:
-        running = self.series.rowsBetween(W.unboundedPreceding, 0)
-        df = df.withColumns({f"_run_{k}": F.sum(v).over(running) for k, v in sums.items()})
-        back = {
-            f"_sum_{k}": F.col(f"_run_{k}")
-            - F.coalesce(F.lag(f"_run_{k}", self.n).over(self.series), F.lit(0.0))
-            for k in sums
-        }
-        return df.withColumns(back)
 
-    def centred(self, column: Column, where: Column) -> Column:
-        value = F.when(where, column)
-        return F.coalesce(value - F.avg(value).over(self.whole), F.lit(0.0))
-
-
-# Relative size below which a centred moment is rounding noise of a constant series.
-_NOISE = 1e-12
+def _rolling(df: DataFrame, key: Sequence[str], order: str, n: int,
+             values: Mapping[str, Column], pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Moments of ``values`` over the last ``n`` rows, co-moments of ``pairs`` of them.
 
+    Adds per value _n (count), _mean, _m2 (centred second moment), _low and _high, per pair
+    _co.  Short frames are added up anew.  A long frame is the end of one block of ``n``
+    rows and the start of the next: running moments from either border meet there, so nothing
+    old is ever subtracted, and each row costs the same for any frame length.
+    """
+    def stats(prefix: str, frame) -> dict[str, Column]:
+        out = {}
+        for v, c in values.items():
+            out |= {f"{prefix}n_{v}": F.count(c).over(frame),
+                    f"{prefix}mean_{v}": F.avg(c).over(frame),
+                    f"{prefix}m2_{v}": F.var_pop(c).over(frame) * F.count(c).over(frame),
+                    f"{prefix}low_{v}": F.min(c).over(frame),
+                    f"{prefix}high_{v}": F.max(c).over(frame)}
+        for p, (x, y) in pairs.items():
+            a, b = values[x], values[y]
+            out[f"{prefix}co_{p}"] = F.covar_pop(a, b).over(frame) * F.count(a).over(frame)
+        return out
 
-def _spread(count: Column, first: Column, second: Column) -> Column:
-    """Centred second moment, exactly 0 for a constant series."""
-    moment = second - first * first / count
-    return F.when(moment > second * _NOISE, moment).otherwise(F.lit(0.0))
+    series = _series(key, order)
+    if n <= SHORT_FRAME:
+        return df.withColumns(stats("_", series.rowsBetween(-(n - 1), 0)))
+    df = df.withColumn("_pos", F.row_number().over(series) - 1)
+    df = df.withColumn("_block", F.floor(F.col("_pos") / n))
+    up_to = W.unboundedPreceding, 0
+    block = W.partitionBy(*key, "_block")
+    df = df.withColumns(stats("_t_", block.orderBy(F.desc(order)).rowsBetween(*up_to)))
+    tails = stats("_t_", series)
+    start = block.orderBy(order).rowsBetween(*up_to)
+    whole = W.partitionBy(*key).orderBy("_block", order)
+    before = (F.col("_block") > 0) & (F.col("_pos") % n < n - 1)
+    df = df.withColumns({
+        **stats("_h_", start),
+        **{f"_p{t}": F.when(before, F.lag(t, n - 1).over(whole)) for t in tails}})
+    merged, means = {}, {}
+    for v in values:
+        near, far = F.col(f"_h_n_{v}"), F.coalesce(f"_p_t_n_{v}", F.lit(0))
+        total = F.nullif(near + far, F.lit(0))
+        apart = F.coalesce(F.col(f"_h_mean_{v}") - F.col(f"_p_t_mean_{v}"), F.lit(0.0))
+        means[v] = apart, near * far / total
+        merged |= {
+            f"_n_{v}": near + far,
+            f"_mean_{v}": (near * F.coalesce(f"_h_mean_{v}", F.lit(0.0))
+                           + far * F.coalesce(f"_p_t_mean_{v}", F.lit(0.0))) / total,
+            f"_m2_{v}": F.coalesce(f"_h_m2_{v}", F.lit(0.0))
+            + F.coalesce(f"_p_t_m2_{v}", F.lit(0.0)) + apart * apart * means[v][1],
+            f"_low_{v}": F.least(f"_h_low_{v}", f"_p_t_low_{v}"),
+            f"_high_{v}": F.greatest(f"_h_high_{v}", f"_p_t_high_{v}")}
+    for p, (x, y) in pairs.items():
+        merged[f"_co_{p}"] = (
+            F.coalesce(f"_h_co_{p}", F.lit(0.0)) + F.coalesce(f"_p_t_co_{p}", F.lit(0.0))
+            + means[x][0] * means[y][0] * means[x][1])
+    return df.withColumns(merged)
+
+
+def _spread(value: str) -> Column:
+    """The centred second moment of a window, exactly 0 where all its values are equal."""
+    return F.when(F.col(f"_low_{value}") < F.col(f"_high_{value}"), F.col(f"_m2_{value}")
+                  ).otherwise(F.lit(0.0))
 
 
 def rolling_stddev(df: DataFrame, key: Sequence[str], order: str, columns: Mapping[str, str],
                    n: int, counts: Mapping[str, str] | None = None) -> DataFrame:
     """Sample deviation over the last ``n`` rows (out -> column), with optional value counts."""
-    moments = _Moments(key, order, n)
     keep = df.columns
-    sums, centres = {}, {}
-    for out, c in columns.items():
-        present = F.col(c).isNotNull()
-        centres[f"_c_{out}"] = moments.centred(F.col(c).cast("double"), present)
-        sums[f"n_{out}"] = F.when(present, 1.0).otherwise(0.0)
-        sums[f"a_{out}"] = F.col(f"_c_{out}")
-        sums[f"b_{out}"] = F.col(f"_c_{out}") * F.col(f"_c_{out}")
-    df = moments.add(df.withColumns(centres), sums)
+    rolled = _rolling(df, key, order, n,
+                      {out: F.col(c).cast("double") for out, c in columns.items()}, {})
     results = {}
     for out in columns:
-        count = F.col(f"_sum_n_{out}")
-        spread = _spread(count, F.col(f"_sum_a_{out}"), F.col(f"_sum_b_{out}"))
-        results[out] = F.when(count > 1, F.sqrt(spread / F.when(count > 1, count - 1)))
+        count = F.col(f"_n_{out}")
+        results[out] = F.when(count > 1, F.sqrt(_spread(out) / F.when(count > 1, count - 1)))
     for name, out in (counts or {}).items():
-        results[name] = F.col(f"_sum_n_{out}").cast("bigint")
-    return df.select(*keep, *[v.alias(k) for k, v in results.items()])
+        results[name] = F.col(f"_n_{out}").cast("bigint")
+    return rolled.select(*keep, *[v.alias(k) for k, v in results.items()])
 
 
 def rolling_corr(df: DataFrame, key: Sequence[str], order: str, x: str, y: str, n: int,
                  out: str = "corr", count: str | None = None) -> DataFrame:
     """Pearson correlation over the last ``n`` rows, pairs with a NULL left out."""
-    moments = _Moments(key, order, n)
     keep = df.columns
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    df = df.withColumns({
-        "_cx": moments.centred(F.col(x).cast("double"), both),
-        "_cy": moments.centred(F.col(y).cast("double"), both),
-    })
-    cx, cy = F.col("_cx"), F.col("_cy")
-    df = moments.add(df, {
-        "n": F.when(both, 1.0).otherwise(0.0), "x": cx, "y": cy,
-        "xx": cx * cx, "yy": cy * cy, "xy": cx * cy,
-        "k": F.when(F.col(x).isNotNull(), 1.0).otherwise(0.0),
-    })
-    rows = F.col("_sum_n")
-    pairs = F.when(rows > 0, rows)
-    spread_x = _spread(pairs, F.col("_sum_x"), F.col("_sum_xx"))
-    spread_y = _spread(pairs, F.col("_sum_y"), F.col("_sum_yy"))
-    joint = F.col("_sum_xy") - F.col("_sum_x") * F.col("_sum_y") / pairs
-    defined = (rows > 1) & (spread_x > 0) & (spread_y > 0)
-    results = [F.when(defined, joint / F.sqrt(F.when(defined, spread_x * spread_y))).alias(out)]
+    values = {"x": F.when(both, F.col(x).cast("double")),
+              "y": F.when(both, F.col(y).cast("double")), "k": F.col(x).cast("double")}
+    rolled = _rolling(df, key, order, n, values, {"xy": ("x", "y")})
+    spread_x, spread_y = _spread("x"), _spread("y")
+    defined = (F.col("_n_x") > 1) & (spread_x > 0) & (spread_y > 0)
+    joint = F.col("_co_xy") / (F.sqrt(F.when(defined, spread_x)) * F.sqrt(spread_y))
+    results = [F.when(defined, joint).alias(out)]
     if count:
-        results.append(F.col("_sum_k").cast("bigint").alias(count))
-    return df.select(*keep, *results)
+        results.append(F.col("_n_k").cast("bigint").alias(count))
+    return rolled.select(*keep, *results)
 
 
 def running_stats(df: DataFrame, key: Sequence[str], order: str, value: str,

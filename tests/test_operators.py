@@ -219,6 +219,32 @@ def series(spark, n=400, entities=3):
         "CASE WHEN id % 23 = 0 THEN NULL ELSE 1000 + cos(id * 0.7) * id END AS y")
 
 
+@pytest.mark.parametrize("n", [40, 100])
+def test_rolling_moments_are_exact_after_any_history(spark, n):
+    """A volatile stretch, a change of scale by a million, then a constant one; NULLs between."""
+    import numpy as np
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(0, 1e6, 350), rng.normal(5, 1, 350), np.full(250, 0.001)])
+    y = np.concatenate([rng.normal(0, 1, 700), rng.normal(0, 1, 250)]) + x * 1e-3
+    data = [(0, i, None if i % 13 == 0 else float(a), float(b))
+            for i, (a, b) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(data, "k int, t int, x double, y double")
+    out = windows.rolling_corr(windows.rolling_stddev(df, ["k"], "t", {"s": "x"}, n, {"m": "s"}),
+                               ["k"], "t", "x", "y", n, "c", "m2").orderBy("t").collect()
+    for i, r in enumerate(out):
+        window = [(a, b) for _, _, a, b in data[max(0, i - n + 1):i + 1] if a is not None]
+        assert r.m == r.m2 == len(window)
+        if len(window) < 2:
+            assert r.s is None and r.c is None
+            continue
+        a, b = (np.array(v) for v in zip(*window))
+        if a.min() == a.max():
+            assert r.s == 0 and r.c is None
+        else:
+            assert abs(r.s / a.std(ddof=1) - 1) < 1e-9
+            assert abs(r.c - np.corrcoef(a, b)[0, 1]) < 1e-9
+
+
 def test_rolling_matches_built_in(spark):
     df = series(spark)
     frame = W.partitionBy("k").orderBy("t").rowsBetween(-49, 0)
