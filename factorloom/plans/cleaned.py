@@ -138,9 +138,9 @@ COMPANY_DEFAULTS = {
 }
 
 
-def companies(bronze: DataFrame) -> DataFrame:
-    """One row per well-formed ticker, the first by name winning among repeats."""
-    valid = clean.regex_filter(bronze, "ticker", not_null=["company_type"])
+def companies(bronze: DataFrame, pattern: str = clean.TICKER_PATTERN) -> DataFrame:
+    """One row per ticker of the given form, the first by name winning among repeats."""
+    valid = clean.regex_filter(bronze, "ticker", pattern, not_null=["company_type"])
     first = dedup_first(valid, ["ticker"], ["company_name", "industry_group", "sector_detail"])
     return clean.fill_defaults(first, COMPANY_DEFAULTS).select(
         "ticker", *COMPANY_DEFAULTS, "company_type")

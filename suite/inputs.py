@@ -65,10 +65,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Base-36 digits of a company key: two thousand million suppliers.
+KEY_WIDTH = 6
+KEY_PATTERN = f"^[A-Z0-9]{{{KEY_WIDTH}}}$"
+
+
 def ticker_of(key: str) -> Column:
-    """Base-36 code of a key, at least three characters."""
-    code = F.conv(F.col(key).cast("string"), 10, 36)
-    return F.when(F.length(code) >= 3, code).otherwise(F.lpad(code, 3, "0"))
+    """Base-36 code of a key, of fixed width; no two keys share one."""
+    return F.lpad(F.conv(F.col(key).cast("string"), 10, 36), KEY_WIDTH, "0")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

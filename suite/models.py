@@ -55,7 +55,7 @@ class Models:
 
     def companies(self) -> DataFrame:
         return self._once("companies", lambda: cleaned.companies(
-            inputs.company_list(self.spark, self.sf_dir)))
+            inputs.company_list(self.spark, self.sf_dir), inputs.KEY_PATTERN))
 
     def fundamental_1(self) -> DataFrame:
         return self._once("fun1", lambda: cleaned.fundamental_1(

@@ -68,9 +68,9 @@ def normalize_key(spark, sf_dir):
 
 
 @query("regex_filter", """SELECT ticker, company_name FROM x_company_list
-    WHERE regexp_matches(ticker, '^[A-Z0-9]{3}$') AND company_name IS NOT NULL""")
+    WHERE regexp_matches(ticker, '^[A-Z0-9]{6}$') AND company_name IS NOT NULL""")
 def regex_filter(spark, sf_dir):
-    rows = clean.regex_filter(inputs.company_list(spark, sf_dir), "ticker",
+    rows = clean.regex_filter(inputs.company_list(spark, sf_dir), "ticker", inputs.KEY_PATTERN,
                               not_null=["company_name"])
     return rows.select("ticker", "company_name")
 
@@ -163,7 +163,7 @@ def dedup_latest(spark, sf_dir):
 
 @query("dedup_first_by_name", "SELECT * FROM x_companies")
 def dedup_first_by_name(spark, sf_dir):
-    return cleaned.companies(inputs.company_list(spark, sf_dir))
+    return cleaned.companies(inputs.company_list(spark, sf_dir), inputs.KEY_PATTERN)
 
 
 @query("last_in_period", """SELECT o_custkey, absolute_month, o_orderdate AS date, o_orderkey

@@ -112,12 +112,13 @@ def stream_compact_latest(spark, sf_dir):
 
 
 def query_events(spark, sf_dir):
-    """Query events: the event's numbers with a document as query text.
+    """Query events: the event's numbers with a document as query text, in turn.
 
     Sign-ups carry no statistics; errors carry neither a user nor a readable number.
     """
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("event_id"), "text")
-    rows = table(spark, sf_dir, "events").join(docs, "event_id", "left")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    turn = F.col("event_id") % docs.agg(F.count(F.lit(1))).scalar()
+    rows = table(spark, sf_dir, "events").withColumn("doc_id", turn).join(docs, "doc_id", "left")
     failed = "event_type = 'error'"
     return rows.selectExpr(
         "struct(CAST(event_id AS STRING) AS queryId, '/* job */ ' || text AS query,"
@@ -139,7 +140,8 @@ def query_events(spark, sf_dir):
     CASE WHEN event_type = 'error' THEN 0.0 ELSE value END AS cpu_time_s,
     CAST(0 AS DOUBLE) AS failed_cpu_time_s, value * 2 AS wall_time_s, event_id AS scanned_bytes,
     CAST(0 AS BIGINT) AS peak_memory_bytes
-    FROM events LEFT JOIN documents ON event_id = doc_id WHERE event_type <> 'signup'""")
+    FROM events LEFT JOIN documents
+    ON event_id % (SELECT count(*) FROM documents) = doc_id WHERE event_type <> 'signup'""")
 def stream_audit_normalise(spark, sf_dir):
     rows = audit.normalise_query_events(query_events(spark, sf_dir))
     return rows.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))

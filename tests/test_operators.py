@@ -25,6 +25,7 @@ from factorloom.operators import (
     topk,
     windows,
 )
+from factorloom.plans import cleaned
 from factorloom.sources import store, tables
 
 
@@ -544,3 +545,18 @@ def test_suite_levels(spark, ctx):
         ("clean", 0, "pass"), ("hard", 8, "fail"), ("soft", 2, "warn")]
     with pytest.raises(RuntimeError, match="hard"):
         datatests.require_pass(results)
+
+
+def test_company_keys_stay_apart_and_well_formed(spark):
+    from suite import inputs
+    from suite.inputs_sql import ticker
+    import duckdb
+    keys = [0, 1, 46_655, 46_656, 46_657, 1_700_000, 1_700_001, 2_000_000_000]
+    df = spark.createDataFrame([(k,) for k in keys], "s_suppkey long").select(
+        inputs.ticker_of("s_suppkey").alias("ticker"), F.lit("CT").alias("company_type"),
+        *[F.lit("n").alias(c) for c in ("company_name", "industry_group", "sector_detail")])
+    mine = [r.ticker for r in df.collect()]
+    assert len(set(mine)) == len(keys)
+    assert mine == [duckdb.sql(f"SELECT {ticker(str(k))}").fetchall()[0][0] for k in keys]
+    assert cleaned.companies(df, inputs.KEY_PATTERN).count() == len(keys)
+    assert cleaned.companies(df).count() == 0
