@@ -17,19 +17,19 @@ from factorloom.session import fits
 
 ACTIVE, INACTIVE = "active", "inactive"
 
-# Request templates per task kind.
-URL_TEMPLATES = {
-    "fundamental_1": "https://restv2.%1$s.vn/symbols/%2$s/fundamental",
-    "fundamental_2": "https://restv2.%1$s.vn/symbols/%2$s",
-    "historical_quotes": "https://restv2.%1$s.vn/symbols/%2$s/historical-quotes"
+# Request paths per task kind, below the source's base address.
+URL_PATHS = {
+    "fundamental_1": "%1$s/symbols/%2$s/fundamental",
+    "fundamental_2": "%1$s/symbols/%2$s",
+    "historical_quotes": "%1$s/symbols/%2$s/historical-quotes"
                          "?startDate=%3$s&endDate=%4$s&offset=0&limit=%5$s",
-    "quarter_report": "https://restv2.%1$s.vn/symbols/%2$s/full-financial-reports"
+    "quarter_report": "%1$s/symbols/%2$s/full-financial-reports"
                       "?type=%6$s&year=%7$s&quarter=%8$s&limit=%5$s",
-    "fundamental_quarter": "https://restv2.%1$s.vn/symbols/%2$s/financial-data"
+    "fundamental_quarter": "%1$s/symbols/%2$s/financial-data"
                            "?type=Q&count=%5$s",
-    "year_report": "https://restv2.%1$s.vn/symbols/%2$s/full-financial-reports"
+    "year_report": "%1$s/symbols/%2$s/full-financial-reports"
                    "?type=%6$s&year=%7$s&quarter=0&limit=%5$s",
-    "dividend": "https://restv2.%1$s.vn/symbols/%2$s/dividends?count=%5$s",
+    "dividend": "%1$s/symbols/%2$s/dividends?count=%5$s",
 }
 # Statement numbers of the report requests.
 REPORT_TYPES = {
@@ -128,7 +128,8 @@ def _limit(kind: str, day: Column) -> Column:
 
 
 def plan_tasks(starts: DataFrame, kind: str, data_type: str, ctx: RunContext,
-               source: str = "source", report: str | None = None) -> DataFrame:
+               source: str = "source", report: str | None = None,
+               base_url: str = "https://api.example.com") -> DataFrame:
     """Request rows for every key whose period to fetch is not empty.
 
     ``starts`` has ``ticker`` and ``start_date``; the result has the columns of a request
@@ -142,12 +143,12 @@ def plan_tasks(starts: DataFrame, kind: str, data_type: str, ctx: RunContext,
     rows = starts.withColumn("fetch_limit", _limit(kind, day)).where(F.col("fetch_limit") > 0)
     end = F.date_sub(day, 1)
     parts = [
-        F.lit(source), F.col("ticker"), F.col("start_date").cast("string"), end.cast("string"),
+        F.lit(base_url), F.col("ticker"), F.col("start_date").cast("string"), end.cast("string"),
         F.col("fetch_limit").cast("string"),
         F.lit(str(REPORT_TYPES.get(report, 0))), F.lit(str(year)), F.lit(str(quarter)),
     ]
     return rows.select(
         "ticker", F.lit(ctx.run_id).alias("batch_id"), F.lit(data_type).alias("data_type"),
         F.lit(source).alias("source"), F.lit(ctx.started_at.isoformat()).alias("created_at_ts"),
-        F.format_string(URL_TEMPLATES[kind], *parts).alias("url"), "fetch_limit",
+        F.format_string(URL_PATHS[kind], *parts).alias("url"), "fetch_limit",
     )

@@ -226,7 +226,7 @@ def start_date_lookup(spark, sf_dir):
 
 
 AQ0 = "(year(start_date) * 4 + quarter(start_date))"
-URL = "'https://restv2.suite.vn/symbols/' || ticker || "
+URL = "'https://api.example.com/symbols/' || ticker || "
 DAYS = "date_diff('day', start_date, DATE '2001-03-31')"
 
 
