@@ -202,6 +202,52 @@ def unnest_struct(spark, sf_dir):
     return reshape.unnest_struct(packed)
 
 
+def order_payloads(spark, sf_dir, record):
+    """One nested payload per order, its lines as records."""
+    return table(spark, sf_dir, "lineitem").withColumn("day", F.to_date("l_shipdate")).groupBy(
+        F.col("l_orderkey").cast("string").alias("ticker")).agg(
+        F.collect_list(record).alias("data"))
+
+
+def json_number(column: str, field: str):
+    return F.get_json_object(column, f"$.{field}").cast("double").alias(field)
+
+
+@query("flatten_quotes", """SELECT CAST(l_orderkey AS VARCHAR) AS ticker,
+    CAST(l_shipdate AS DATE) AS event_date, CAST(year(l_shipdate) AS INTEGER) AS year,
+    CAST(l_extendedprice AS DOUBLE) AS priceClose, CAST(l_quantity AS DOUBLE) AS totalVolume
+    FROM lineitem""")
+def flatten_quotes(spark, sf_dir):
+    payload = order_payloads(spark, sf_dir, F.struct(
+        F.date_format("day", "yyyy-MM-dd'T'00:00:00").alias("date"),
+        F.col("l_extendedprice").alias("priceClose"), F.col("l_quantity").alias("totalVolume")))
+    return reshape.flatten_quotes(payload, CTX).select(
+        "ticker", "event_date", "year", json_number("data", "priceClose"),
+        json_number("data", "totalVolume"))
+
+
+@query("flatten_fundamental_quarter", """SELECT CAST(l_orderkey AS VARCHAR) AS ticker,
+    CAST(year(l_shipdate) AS INTEGER) AS year, CAST(quarter(l_shipdate) AS INTEGER) AS quarter,
+    CAST(l_extendedprice AS DOUBLE) AS MarketCapAtPeriodEnd FROM lineitem""")
+def flatten_fundamental_quarter(spark, sf_dir):
+    payload = order_payloads(spark, sf_dir, F.struct(
+        F.year("day").cast("string").alias("year"), F.quarter("day").cast("string")
+        .alias("quarter"), F.struct(F.col("l_extendedprice").alias("MarketCapAtPeriodEnd"))
+        .alias("financialValues")))
+    return reshape.flatten_fundamental_quarter(payload, CTX).select(
+        "ticker", "year", "quarter", json_number("value", "MarketCapAtPeriodEnd"))
+
+
+@query("flatten_dividends", """SELECT CAST(l_orderkey AS VARCHAR) AS ticker,
+    CAST(year(l_shipdate) AS INTEGER) AS year, CAST(l_discount AS DOUBLE) AS amount
+    FROM lineitem""")
+def flatten_dividends(spark, sf_dir):
+    payload = order_payloads(spark, sf_dir, F.struct(
+        F.year("day").alias("year"), F.col("l_discount").alias("amount")))
+    return reshape.flatten_dividends(payload, CTX).select(
+        "ticker", "year", json_number("data", "amount"))
+
+
 @query("flatten_two_level", """SELECT o_orderkey, CAST(i AS INT) AS indicator_id,
     CASE i WHEN 1 THEN 'price' ELSE 'customer' END AS indicator_name,
     CAST(year(o_orderdate) AS INT) AS year, CAST(quarter(o_orderdate) AS INT) AS quarter,
