@@ -19,6 +19,8 @@ MESSAGE_SCHEMA = ("ticker string, batch_id string, data_type string, source stri
                   " created_at_ts string, url string")
 FILES_PER_TRIGGER = 10
 RETENTION_HOURS = 24
+# What a failed message says where the fetch gave no reason.
+FETCH_FAILED = "fetch failed"
 # Folders of the compacted copy, and the column that names them.
 LOG_BUCKETS = 64
 LOG_BUCKET = "_key_bucket"
@@ -68,12 +70,14 @@ def _overwrite_batch(df: DataFrame, folder: str, epoch: int, kind: str) -> None:
 
 def load_pass(messages: DataFrame, fetch: Callable[[DataFrame], DataFrame], landing: str,
               errors: str, checkpoint: str,
-              transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+              transform: Callable[[DataFrame], DataFrame] | None = None,
+              attempt: int = 1) -> StreamingQuery:
     """Drain a message stream: fetched rows to the landing folder, failures to the next topic.
 
-    ``fetch`` adds the payload columns and a boolean ``ok``.  Each micro-batch is written
-    before its position is committed, and written under its own number, so that a batch
-    replayed after a crash leaves one copy.
+    ``fetch`` adds the payload columns, a boolean ``ok`` and, if it knows one, a ``reason``.
+    A failed message goes on with the number of the attempt and the reason.  Each
+    micro-batch is written before its position is committed, and written under its own
+    number, so that a batch replayed after a crash leaves one copy.
     """
     columns = messages.columns
 
@@ -82,7 +86,10 @@ def load_pass(messages: DataFrame, fetch: Callable[[DataFrame], DataFrame], land
         try:
             good, bad = split_failures(fetched)
             _overwrite_batch(transform(good) if transform else good, landing, epoch, "parquet")
-            _overwrite_batch(bad.select(*columns), errors, epoch, "json")
+            reason = F.col("reason") if "reason" in bad.columns else F.lit(None).cast("string")
+            _overwrite_batch(bad.select(
+                *columns, F.lit(attempt).alias("attempt"),
+                F.coalesce(reason, F.lit(FETCH_FAILED)).alias("reason")), errors, epoch, "json")
         finally:
             fetched.unpersist()
 
@@ -111,7 +118,7 @@ def load_with_retry(spark: SparkSession, topic: str, landing: str, checkpoint: s
     if _has_batches(spark, folders["retry"]):
         again = claim_checks(spark, f"{folders['retry']}/*", schema, files_per_trigger)
         load_pass(again, retry_fetch or fetch, folders["retried"], folders["dlq"],
-                  f"{checkpoint}/retry", transform).awaitTermination()
+                  f"{checkpoint}/retry", transform, attempt=2).awaitTermination()
     return folders
 
 

@@ -28,6 +28,23 @@ def test_restart_continues_from_checkpoint(spark, tmp_path):
     assert claims.parse_messages(spark.read.text(f"{errors}/*")).count() == 10
 
 
+def test_failed_messages_carry_attempt_and_reason(spark, tmp_path):
+    topic, land, mark = (str(tmp_path / n) for n in ("t", "l", "c"))
+
+    def fetch(batch):
+        number = F.substring("url", 2, 9).cast("int")
+        return batch.withColumn("ok", number % 3 == 0).withColumn(
+            "reason", F.when(number % 3 == 1, "not found"))
+
+    claims.publish(messages(spark, 0, 6), topic)
+    folders = claims.load_with_retry(spark, topic, land, mark, fetch)
+    for folder, attempt in (("retry", 1), ("dlq", 2)):
+        got = spark.read.json(f"{folders[folder]}/*").select("url", "attempt", "reason").collect()
+        assert sorted((r.url, r.attempt, r.reason) for r in got) == [
+            (u, attempt, w) for u, w in (("u1", "not found"), ("u2", "fetch failed"),
+                                         ("u4", "not found"), ("u5", "fetch failed"))]
+
+
 def test_bad_messages_are_skipped(spark):
     lines = spark.createDataFrame([('{"ticker": "A"}',), ("{oops",), (None,), ("",)],
                                   "value string")
