@@ -10,9 +10,9 @@ when its upper bound is below a score that k others are proven to reach; process
 when few vectors are left, and those get their exact scores.
 
 Nulls, empties and repeats: a vector that is null or empty, or holds a null or non-finite
-component, takes no part; a row with a null id is a candidate that loses ties, never a query; rows that
-repeat an id are candidates each; vectors are compared with those of the same length.  An
-empty table gives an empty result.
+component, takes no part; a row with a null id is a candidate that loses ties, never a query;
+rows that repeat an id are candidates each; vectors are compared with those of the same
+length.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

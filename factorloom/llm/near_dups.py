@@ -326,7 +326,8 @@ def link(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     able = texts.select("node", "n", "weight").join(_own_shingles(texts), "node", "left").select(
         "node", "weight", F.struct("node", "n", shared.alias("shared")).alias("at")).where(
         F.lit(100) * F.col("at.shared") >= F.lit(threshold) * F.col("at.n"))
-    members = stored(_with_leaders(members.join(able, "node").select("band", "at", "weight")), "led")
+    members = stored(_with_leaders(
+        members.join(able, "node").select("band", "at", "weight")), "led")
 
     stars = stored(members.where("at.node <> leader.node")
                    .where(_may_link(F.col("at"), F.col("leader"), threshold))

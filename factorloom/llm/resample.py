@@ -3,8 +3,8 @@
 Word and word-pair counts, hashed into ``2 ** bits`` buckets, give a generative model of the
 target text (a bounded sample of labelled good documents) and one of the raw text (every
 document).  A document's log weight is its mean log ratio of the two per n-gram, times
-``strength``, so that length neither helps nor hurts.  The k documents with the largest log weight plus Gumbel noise
-are an exact sample without replacement in proportion to the weights.
+``strength``, so that length neither helps nor hurts.  The k documents with the largest log weight plus
+Gumbel noise are an exact sample without replacement in proportion to the weights.
 
 Nulls, empties and repeats: a null or empty text has log weight 0; a null id takes part as it
 is; the noise hangs on id and text, so equal rows share one verdict and may exceed k

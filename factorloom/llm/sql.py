@@ -150,7 +150,8 @@ FROM d LEFT JOIN sizes USING (row) LEFT JOIN least USING (row)
 TOP_K = """
 WITH v AS (
     SELECT row_number() OVER () AS row, vec_id,
-           list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS vector
+           list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT))
+               AS vector
     FROM embeddings
     WHERE len(embedding) > 0 AND len(list_filter(
         embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
