@@ -18,6 +18,8 @@ class RunContext:
     benchmark: str = "VNINDEX"
     history_years: int = 8
     display_zone: str = "Asia/Ho_Chi_Minh"
+    # Form of a company key; rows with another one are left out.
+    ticker_pattern: str = "^[A-Z0-9]{3}$"
     # "decimal4" quantises ratios to four digits before ranking, "double" keeps them whole.
     ratio_mode: str = "double"
 

@@ -62,7 +62,7 @@ def _snapshot(store: TableStore, current: DataFrame, name: str, keys: tuple[str,
 
 def refresh_companies(store: TableStore, ctx: RunContext) -> DataFrame:
     """Company master, its qualification and its history."""
-    master = _replace(store, cleaned.companies(store.read("company_list")),
+    master = _replace(store, cleaned.companies(store.read("company_list"), ctx.ticker_pattern),
                       "silver_dim_company", "silver", ctx)
     fun1 = _replace(store, cleaned.fundamental_1(cleaned.stage_fundamental_1(
         store.read("fundamental_1"))), "silver_fundamental_1", "silver", ctx)

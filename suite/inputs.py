@@ -20,7 +20,11 @@ STARTED = datetime(2001, 11, 9, 6, 0, 0, tzinfo=timezone.utc)
 FIRST_DELIVERY = "2001-11-05 00:00:00"
 SECOND_DELIVERY = "2001-11-06 00:00:00"
 STALE_DELIVERY = "2001-10-30 00:00:00"
-CTX = RunContext(run_id="suite", started_at=STARTED, as_of=date(2001, 11, 10), min_year=1995)
+# Base-36 digits of a company key: two thousand million suppliers.
+KEY_WIDTH = 6
+KEY_PATTERN = f"^[A-Z0-9]{{{KEY_WIDTH}}}$"
+CTX = RunContext(run_id="suite", started_at=STARTED, as_of=date(2001, 11, 10), min_year=1995,
+                 ticker_pattern=KEY_PATTERN)
 MIN_VOLUME = 10_000
 
 # Report value = rev_factor * revenue + cost_factor * costs (data type, id, both factors).
@@ -65,11 +69,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Base-36 digits of a company key: two thousand million suppliers.
-KEY_WIDTH = 6
-KEY_PATTERN = f"^[A-Z0-9]{{{KEY_WIDTH}}}$"
-
-
 def ticker_of(key: str) -> Column:
     """Base-36 code of a key, of fixed width; no two keys share one."""
     return F.lpad(F.conv(F.col(key).cast("string"), 10, 36), KEY_WIDTH, "0")
