@@ -28,10 +28,12 @@ from factorloom.llm.frames import sized, stored
 from factorloom.llm.text import BLANKS, Words, mix, pieces, windows
 
 WIDTH = 50
-DEPTH = 3
-# The merged sketch is broadcast: DEPTH bits per cell, 96 MB at most.
+DEPTH = 2
+# The merged sketch is broadcast: DEPTH bits per cell, 64 MB at most.
 MAX_CELL_BITS = 28
 _SLICE_BITS = 20
+# Text that is looked at in one go; its arrays take some twenty times as much.
+PIECE_BYTES = 1 << 20
 # The bitmap of affected documents: 8 MB.
 MARK_BITS = 26
 _NO_ID = np.iinfo(np.int64).max
@@ -85,14 +87,15 @@ def sketch(docs: DataFrame, bits: int, width: int) -> bytes:
                 ("part", pa.int64()), ("one", pa.binary()), ("two", pa.binary())]))
 
         for batch in batches:
-            for a, b in pieces(batch.column(0)):
+            for a, b in pieces(batch.column(0), PIECE_BYTES):
                 words = Words(batch.column(0).slice(a, b - a), BLANKS, lower=False)
                 found = windows(words.hashes(), words.first, width)[1]
                 if len(found):
                     held.append(found)
-                if sum(map(len, held)) > 1 << 21:
+                if sum(map(len, held)) > 1 << 20:
                     yield from flush()
         yield from flush()
+        pa.default_memory_pool().release_unused()
 
     def merge(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         one = np.zeros(1 << slice_bits, dtype=bool)
@@ -157,7 +160,7 @@ def _occurrences(docs: DataFrame, merged, bits: int, width: int) -> DataFrame:
                            pa.array(np.r_[heads, len(ids)], pa.int32()), pa.array(places)))
 
         for batch in batches:
-            for a, b in pieces(batch.column(1)):
+            for a, b in pieces(batch.column(1), PIECE_BYTES):
                 words = Words(batch.column(1).slice(a, b - a), BLANKS, lower=False)
                 starts, hashes = windows(words.hashes(), words.first, width)
                 passed = starts[may_repeat(hashes, shared.value, bits)]
@@ -171,11 +174,14 @@ def _occurrences(docs: DataFrame, merged, bits: int, width: int) -> DataFrame:
                 owner = np.searchsorted(words.first, passed, "right") - 1
                 ids = batch.column(0).slice(a, b - a).fill_null(_NO_ID).to_numpy()
                 keys = batch.column(2).slice(a, b - a).to_numpy()
-                held.append((np.frombuffer(digests, dtype=[("h1", "<i8"), ("h2", "<i4")]), ids[owner], keys[owner],
+                held.append((np.frombuffer(digests, dtype=[("h1", "<i8"), ("h2", "<i4")]),
+                             ids[owner], keys[owner],
                              (passed - words.first[owner]).astype(np.int32)))
-                if sum(len(x[0]) for x in held) > 1 << 19:
+                if sum(len(x[0]) for x in held) > 1 << 18:
                     yield from flush()
         yield from flush()
+        # an idle worker keeps nothing that the sorts to come could use
+        pa.default_memory_pool().release_unused()
 
     def rows(h1, h2, ids, keys, place, more) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -246,13 +252,14 @@ def dedup(docs: DataFrame, width: int = WIDTH, with_text: bool = True) -> DataFr
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from finish(batch.filter(pa.array(~marked(batch, 2))), None)
+        pa.default_memory_pool().release_unused()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from finish(batch, batch.column(2))
 
     def finish(batch: pa.RecordBatch, places: pa.Array | None) -> Iterator[pa.RecordBatch]:
-        for a, b in pieces(batch.column(1)):
+        for a, b in pieces(batch.column(1), PIECE_BYTES):
             words = Words(batch.column(1).slice(a, b - a), BLANKS, lower=False)
             edge = np.zeros(len(words) + 1, dtype=np.int64)
             if places is not None:
