@@ -14,7 +14,7 @@ from factorloom.session import prepare
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn by importance; the share kept is that of good documents in ``labels``."""
+    """Documents drawn by importance; the cut is that of the documents in ``labels``."""
     return resample.keep_sample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 

@@ -227,6 +227,28 @@ def test_resampling_model_equals_brute_force(spark):
     assert np.allclose(ratios, np.log(smooth[1] / smooth[0]))
 
 
+@pytest.mark.parametrize("edits", [0, 2])
+def test_unlabelled_copies_move_neither_model_nor_cut(spark, edits):
+    rng = random.Random(edits)
+    good = [(i, prose(i, 80, 60)) for i in range(120)]
+    bad = [(i, "### " * 5 + prose(i, 60, 60).replace("w", "$$")) for i in range(120, 160)]
+    copies = []
+    for i in range(1000, 1080):
+        words = good[1][1].split()
+        for _ in range(edits):
+            words[rng.randrange(len(words))] = f"e{rng.randrange(10 ** 6)}"
+        copies.append((i, " ".join(words)))
+    labels = spark.createDataFrame(
+        [(i, 1, 0) for i in range(0, 120, 2)] + [(i, 0, 0) for i in range(120, 140)],
+        "doc_id long, quality int, toxic int")
+    kept = {r["doc_id"] for r in resample.resample(docs(spark, good + bad + copies), labels)
+            .where("kept").collect()}
+    assert not kept & set(range(120, 160))
+    assert len(kept & set(range(120))) >= 116
+    assert len(kept & set(range(1000, 1080))) >= 76
+    assert resample.resample(docs(spark, good + bad), labels, share=0.5).where("kept").count() == 80
+
+
 # --- sharding -----------------------------------------------------------------------------
 
 @pytest.mark.parametrize("n", [0, 3, 39, 1003])
