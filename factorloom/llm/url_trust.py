@@ -3,7 +3,9 @@
 A rule fits a host and its subdomains where the path starts with the rule's path; the longest
 rule decides.  For pages no rule fits, links decide: personalised PageRank from the hosts of
 allowed pages follows the links (trust), from the hosts of blocked pages it follows them
-backwards (distrust); a host with more distrust than trust is blocked.
+backwards (distrust); a host with more distrust than trust is blocked.  For that every seed page
+weighs the same, and the difference is taken as a share of the sum: pages that do not reach a host
+change nothing for it, however many they are.
 
 Links are the absolute links of a page; a link without a host stays on its own.  A
 host also links with its parent domain, both ways, as sites of one owner.  Edges are
@@ -118,8 +120,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS,
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, least: float = 0.0) -> DataFrame:
     """Every page: page_id, host, path, rule, verdict, trust, distrust.
 
-    Where no rule fits, a page is blocked if its host's trust less distrust, to ten digits,
-    is below ``least``.
+    Where no rule fits, a page is blocked if its host's trust less distrust, per seed page and
+    as a share of both, to ten digits, is below ``least``.
     """
     host, path = host_and_path(F.col("url"))
     known = stored(pages.select(
@@ -136,15 +138,22 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, least: float = 0.0)
     totals = seeds.groupBy("way").agg(F.sum("n").alias("all"))
     seeds = seeds.join(F.broadcast(totals), "way").select(
         "host", "way", (F.col("n") / F.col("all")).alias("weight"))
+    mass = F.broadcast(totals.agg(*[
+        F.coalesce(F.max(F.when(F.col("way") == way, F.col("all"))), F.lit(0)).alias(name)
+        for way, name in ((1, "allowed"), (-1, "blocked"))]))
     edges = host_edges(known).unionByName(family_edges(hosts))
-    scores = propagate(edges, seeds).withColumnRenamed("host", "scored")
+    scores = propagate(edges, seeds).withColumnRenamed("host", "scored").crossJoin(mass)
+    # the seeds' weights sum to 1 per way: times their number, one seed page weighs 1
+    up, down = F.col("trust") * F.col("allowed"), F.col("distrust") * F.col("blocked")
+    scores = scores.select("scored", "trust", "distrust", F.round(
+        (up - down) / F.nullif(up + down, F.lit(0.0)), 10).alias("balance"))
     joined = known.drop("html").join(scores, known["host"] == scores["scored"], "left")
     trust, distrust = (F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust"))
     return joined.select(
         "page_id", "host", "path", "rule",
-        F.coalesce("verdict", F.when(F.round(trust - distrust, 10) < least, "block")
+        F.coalesce("verdict", F.when(F.coalesce("balance", F.lit(0.0)) < least, "block")
                    .otherwise("allow")).alias("verdict"),
-        F.round(trust, 10).alias("trust"), F.round(distrust, 10).alias("distrust"))
+        trust.alias("trust"), distrust.alias("distrust"))
 
 
 def digest(result: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from factorloom.llm import (
@@ -488,6 +489,37 @@ def test_trust_equals_brute_force_page_rank(spark):
                            "block" if round(trust - distrust, 10) < 0 else "allow")
 
 
+def test_unrelated_seed_pages_change_no_verdict(spark):
+    def link(*hosts):
+        return "".join(f'<a href="http://{h}/">l</a>' for h in hosts)
+
+    pages = [("http://bad.com/de/", None), ("http://bad.com/x", None), ("http://a.bad.com/x", None),
+             ("http://b.bad.com/x", None), ("http://good.org/", link("both.net", "fine.net")),
+             ("http://both.net/", link("evil.com")), ("http://fine.net/", None),
+             ("http://tie.net/", None), ("http://evil.com/de/", None)]
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)],
+                                  "page_id long, url string, html string")
+
+    pages = pages.union(spark.range(20_000).select(
+        F.col("id") + 100, F.concat(F.lit("http://s"), "id", F.lit(".bad.com/x")), F.lit(None)))
+
+    def more(n, host, path):
+        return spark.range(n).select((F.col("id") + 1_000_000).alias("page_id"), F.concat(
+            F.lit("http://u"), F.pmod("id", F.lit(50)).cast("string"), F.lit(f".{host}{path}"))
+            .alias("url"), F.lit(None).cast("string").alias("html"))
+
+    def verdicts(df):
+        return dict(url_trust.judge(df).where("page_id < 1000000").select("page_id", "verdict")
+                    .collect())
+
+    alone = verdicts(pages)
+    assert [alone[i] for i in range(8)] == [
+        "block", "block", "block", "block", "allow", "block", "allow", "allow"]
+    assert {alone[i] for i in range(100, 20_100)} == {"block"}
+    for n, host, path in ((1_000_000, "other.com", "/de/"), (200_000, "other.org", "/")):
+        assert verdicts(pages.union(more(n, host, path))) == alone
+
+
 # --- near duplicates ----------------------------------------------------------------------
 
 def cloud(seed, copies, words=120, edits=9):
