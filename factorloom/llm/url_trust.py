@@ -8,8 +8,9 @@ weighs the same, and the difference is taken as a share of the sum: pages that d
 change nothing for it, however many they are.
 
 Links are the absolute links of a page; a link without a host stays on its own.  A
-host also links with its parent domain, both ways, as sites of one owner.  Edges are
-counted per pair of hosts before anything moves, so a busy host is a row per neighbour.
+host also links with its parent domain, both ways, as sites of one owner, and so on down to two
+labels, whether or not a page is on the parent.  Edges are counted per pair of hosts before
+anything moves, so a busy host is a row per neighbour.
 
 Nulls, empties and repeats: a null url, or one without ``://``, has an empty host and path, and
 an empty host takes no part in the graph; null html has no links; a null or repeated id is
@@ -28,6 +29,8 @@ from factorloom.llm.frames import stored
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ROUNDS = 10
 DAMPING = 0.85
+# Characters of a host name, by the rules of the DNS.
+MAX_HOST = 253
 
 
 @dataclass(frozen=True)
@@ -80,12 +83,21 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 
 def family_edges(hosts: DataFrame) -> DataFrame:
-    """(src, dst, links): each host and its parent domain, both ways, down to two labels."""
-    parent = F.regexp_replace("host", r"^[^.]*\.", "")
-    up = hosts.where(F.size(F.split("host", r"\.")) > 2).select(
-        F.col("host").alias("src"), parent.alias("dst"), F.lit(1).cast("long").alias("links"))
-    both = up.union(up.select("dst", "src", "links"))
-    return both.distinct()
+    """(src, dst, links): each host and its parent domain, both ways, down to two labels.
+
+    Parents without pages are in the chain as well.  A name of more than ``MAX_HOST`` characters
+    is no host name and links with its parent only.
+    """
+    labels = F.split("host", r"\.")
+    n = F.size(labels)
+    steps = F.when(F.length("host") <= MAX_HOST, n - 2).otherwise(F.lit(1))
+    up = hosts.where(n > 2).select(F.explode(F.transform(
+        F.sequence(F.lit(1), steps), lambda i: F.struct(
+            F.array_join(F.slice(labels, i, n), ".").alias("src"),
+            F.array_join(F.slice(labels, i + 1, n), ".").alias("dst")))).alias("edge")).select(
+        "edge.src", "edge.dst", F.lit(1).cast("long").alias("links")).where(
+        "src <> '' and dst <> ''").distinct()
+    return up.union(up.select("dst", "src", "links"))
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS,

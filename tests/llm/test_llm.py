@@ -489,6 +489,21 @@ def test_trust_equals_brute_force_page_rank(spark):
                            "block" if round(trust - distrust, 10) < 0 else "allow")
 
 
+def test_family_reaches_hosts_over_parents_without_pages(spark):
+    urls = ["http://bad.com/de/", "http://blog.x.y.bad.com/p", "http://news.x.y.bad.com/p",
+            "http://blog.x.fine.com/p", "http://" + "a." * 200 + "com/p"]
+    pages = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)],
+                                  "page_id long, url string, html string")
+    hosts = spark.createDataFrame([("blog.x.y.bad.com",), ("x.y.bad.com",), ("bad.com",)],
+                                  "host string")
+    chain = ["blog.x.y.bad.com", "x.y.bad.com", "y.bad.com", "bad.com"]
+    pairs = list(zip(chain, chain[1:]))
+    assert got(url_trust.family_edges(hosts)) == want(
+        [(a, b, 1) for a, b in pairs] + [(b, a, 1) for a, b in pairs])
+    verdicts = dict(url_trust.judge(pages).select("page_id", "verdict").collect())
+    assert verdicts == {0: "block", 1: "block", 2: "block", 3: "allow", 4: "allow"}
+
+
 def test_unrelated_seed_pages_change_no_verdict(spark):
     def link(*hosts):
         return "".join(f'<a href="http://{h}/">l</a>' for h in hosts)
