@@ -147,7 +147,7 @@ def run_suite(tests: Sequence[DataTest], ctx: RunContext) -> DataFrame:
 
 
 def require_pass(results: DataFrame) -> None:
-    """Stop a run whose suite has failing tests."""
-    failed = results.where("status = 'fail'").select("test_name").limit(20).collect()
+    """Stop a run whose suite has failing tests, and name all of them."""
+    failed = results.where("status = 'fail'").select("test_name").collect()
     if failed:
         raise RuntimeError("failing data tests: " + ", ".join(r[0] for r in failed))

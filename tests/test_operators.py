@@ -560,3 +560,12 @@ def test_company_keys_stay_apart_and_well_formed(spark):
     assert mine == [duckdb.sql(f"SELECT {ticker(str(k))}").fetchall()[0][0] for k in keys]
     assert cleaned.companies(df, inputs.KEY_PATTERN).count() == len(keys)
     assert cleaned.companies(df).count() == 0
+
+
+def test_require_pass_names_every_failing_test(spark):
+    results = spark.createDataFrame([(f"t{i:02d}", "fail") for i in range(30)] + [("ok", "pass")],
+                                    "test_name string, status string")
+    with pytest.raises(RuntimeError) as stopped:
+        datatests.require_pass(results)
+    assert all(f"t{i:02d}" in str(stopped.value) for i in range(30))
+    assert "ok" not in str(stopped.value).split(": ")[1].split(", ")
