@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from factorloom.llm import (
-    chats, decontaminate, impact_index, near_dups, packing, resample, secrets, shards, sql,
-    substrings, url_trust)
+    chats, clusters, decontaminate, impact_index, near_dups, negatives, packing, resample, secrets,
+    shards, sql, substrings, url_trust)
 from factorloom.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,13 @@ def op9(spark, sf_dir):
 @query("op10_minhash_near_dedup", sql.NEAR_DUPS)
 def op10(spark, sf_dir):
     return near_dups.digest(near_dups.link(table(spark, sf_dir, "documents")))
+
+
+@query("op11_hard_negatives", sql.HARD_NEGATIVES)
+def op11(spark, sf_dir):
+    return negatives.digest(negatives.hard_negatives(table(spark, sf_dir, "embeddings")))
+
+
+@query("op12_centroid_clusters", sql.CLUSTERS)
+def op12(spark, sf_dir):
+    return clusters.digest(clusters.cluster(table(spark, sf_dir, "embeddings")))

@@ -190,3 +190,69 @@ SELECT conv_id, CAST(pos // 1000 AS BIGINT) AS part, count(*) AS n_turns,
                   ORDER BY pos) AS rendered
 FROM lines GROUP BY conv_id, pos // 1000
 """
+
+_QUANTISED = """
+    SELECT row_number() OVER () AS row, vec_id, {more}list_transform(
+        embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS vector
+    FROM embeddings
+    WHERE {where} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+HARD_NEGATIVES = f"""
+WITH v AS MATERIALIZED ({_QUANTISED.format(scale=256, where="label IS NOT NULL AND len(embedding) > 0",
+    more="CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, ")}
+), scored AS MATERIALIZED (
+    SELECT a.row AS anchor, a.vec_id AS anchor_id, c.vec_id, c.label = a.label AS same,
+           CAST(list_sum(list_transform(
+               list_zip(a.vector, c.vector), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.row <> c.row AND len(a.vector) = len(c.vector)
+), positives AS (
+    SELECT * FROM (SELECT *, row_number() OVER (
+        PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST) AS slot FROM scored WHERE same)
+    WHERE slot <= 5
+), windows AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id,
+           p.score AS positive_score, n.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor, p.slot
+                              ORDER BY n.score DESC, n.vec_id NULLS LAST) AS rank
+    FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.same
+     AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score,
+       negative_score
+FROM windows WHERE rank <= 5
+"""
+
+
+def _clusters(rounds: int = 5, k: int = 40) -> str:
+    steps = [f"""
+WITH v AS MATERIALIZED ({_QUANTISED.format(scale=256, where="len(embedding) = 64", more="")}
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, vector) - 1 AS num, vector
+    FROM v QUALIFY num < {k}
+)"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+    SELECT v.row, v.vec_id, v.vector, num, CAST(list_sum(list_transform(
+        list_zip(v.vector, c{i}.vector), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT)
+        AS distance
+    FROM v, c{i} QUALIFY row_number() OVER (PARTITION BY v.row ORDER BY distance, num) = 1
+)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (
+    SELECT num, coalesce(mean, vector) AS vector FROM c{i} LEFT JOIN (
+        SELECT num, list(part ORDER BY i) AS mean FROM (
+            SELECT num, i, CAST((sum(x) - (sum(x) % count(*) + count(*)) % count(*)) // count(*)
+                                 AS BIGINT) AS part
+            FROM (SELECT num, unnest(vector) AS x, generate_subscripts(vector, 1) AS i FROM a{i})
+            GROUP BY num, i) GROUP BY num) USING (num)
+)""")
+    return ", ".join(steps) + f"""
+SELECT vec_id, CAST(num AS INTEGER) AS cluster, distance,
+       CAST(sum(distance) OVER (PARTITION BY num) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c{rounds}.vector, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (num)
+"""
+
+
+CLUSTERS = _clusters()
