@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from factorloom.llm import (
-    chats, clusters, decontaminate, impact_index, near_dups, negatives, packing, resample, secrets,
-    shards, sql, substrings, url_trust)
+    chats, clusters, decontaminate, impact_index, near_dups, negatives, packing, personal, resample,
+    secrets, shards, sql, substrings, url_trust)
 from factorloom.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,8 @@ def op11(spark, sf_dir):
 @query("op12_centroid_clusters", sql.CLUSTERS)
 def op12(spark, sf_dir):
     return clusters.digest(clusters.cluster(table(spark, sf_dir, "embeddings")))
+
+
+@query("op13_personal_data")
+def op13(spark, sf_dir):
+    return personal.digest(table(spark, sf_dir, "documents"))
