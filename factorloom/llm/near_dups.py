@@ -17,7 +17,8 @@ estimate's margin with 1e-7.
 
 Nulls, empties and repeats: a null or empty text has no shingles, its component is its own
 id; a null id belongs to the component of its set, which is null if no id is in it; rows that
-repeat an id with other texts are separate documents.  An empty table gives an empty result.
+repeat an id with other texts are separate documents.  Very long texts are read whole; ``thin``
+keeps other columns of any name.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -43,6 +44,8 @@ MARGIN = 0.2
 # Texts that one side of a comparison task holds.
 CHUNK_BYTES = 8 << 20
 
+# The blanks of the word rule, in a pattern.
+_BLANKS = r"\x20\x09-\x0D"
 _SEEDS = mix(np.arange(1, 2 * REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -296,10 +299,11 @@ def _rest_links(members: DataFrame, comps: DataFrame, texts: DataFrame,
 
 
 def link(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Every row of ``docs`` (doc_id, text): doc_id, key, n_shingles, component_id, kept.
+    """Every row of ``docs`` (doc_id, text): doc_id, key, n_shingles, part, component_id, kept.
 
     ``component_id`` is the least id reachable over pairs with 100 * |A and B| >= threshold *
-    |A or B|; ``kept`` marks the row that has it; ``key`` is a hash of the text.
+    |A or B|; ``kept`` marks the rows that have it; ``key`` is a hash of the text; ``part`` is a
+    number of the group, whatever ids its rows have, and null without shingles.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     docs = docs.withColumn("key", F.xxhash64("text"))
@@ -343,9 +347,10 @@ def link(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     groups = nodes.join(comps, nodes["node"] == comps["id"], "left").select(
         "c1", "c2", "least", F.coalesce("component", "node").alias("part"))
     first = groups.groupBy("part").agg(F.min("least").alias("component_id"))
-    named = groups.join(first, "part").select("c1", "c2", "component_id")
+    named = groups.join(first, "part").select("c1", "c2", "part", "component_id")
     out = rows.join(named, ["c1", "c2"], "left").select(
         "doc_id", "key", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("part")).alias("part"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
         .alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -359,15 +364,19 @@ def digest(result: DataFrame) -> DataFrame:
 def thin(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates; all columns, in order.
 
-    Rows without shingles stay; of equal rows with shingles one stays.
+    The row with the smallest id stays, null ids last, of equal ids that with the smallest hash
+    of its text, of equal rows any one.  Rows without words stay.
     """
-    key, only = fresh(docs, "row_key"), fresh(docs, "row_only")
-    verdict = link(docs, threshold).where("kept").select(
-        F.col("doc_id").alias("kept_id"), F.col("key").alias("kept_key"),
-        (F.col("n_shingles") > 0).alias("one")).distinct()
-    keyed = docs.withColumn(key, F.xxhash64(F.col("text").cast("string")))
-    joined = keyed.join(verdict, keyed["doc_id"].cast("long").eqNullSafe(verdict["kept_id"])
-                        & (keyed[key] == verdict["kept_key"]))
-    return (joined.withColumn(only, F.when(F.col("one"), F.lit(0)).otherwise(
-        F.monotonically_increasing_id() + 1))
-        .dropDuplicates(["kept_id", "kept_key", only]).select(*[keyed[c] for c in docs.columns]))
+    key, one = fresh(docs, "row_key"), fresh(docs, "row_id")
+    heads = (link(docs, threshold).where(F.col("part").isNotNull()).groupBy("part").agg(
+        F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "key")).alias("head"))
+        .select(F.col("head.doc_id").alias(one), F.col("head.key").alias(key)))
+    text = F.col("text").cast("string")
+    worded = F.coalesce(text.rlike(f"[^{_BLANKS}]"), F.lit(False))
+    own = docs.where(worded).withColumns(
+        {key: F.xxhash64(text), one: F.col("doc_id").cast("long")})
+    left, right = own.alias("l"), heads.alias("r")
+    kept = left.join(right, F.col(f"l.{one}").eqNullSafe(F.col(f"r.{one}"))
+                     & (F.col(f"l.{key}") == F.col(f"r.{key}")), "left_semi")
+    return kept.dropDuplicates([one, key]).select(*docs.columns).unionByName(
+        docs.where(~worded))

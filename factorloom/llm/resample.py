@@ -8,12 +8,16 @@ plus Gumbel noise are an exact sample without replacement in proportion to the w
 
 Copies: each document has ``MINIMA`` least shingle hashes, and how many rows share the one of
 rank ``SHARED`` is the size of its group of copies or near-copies.  In the raw model a group counts
-as one document, in tables of more than ``GROUPS`` rows as one ``GROUPS``-th of the rows at most.
+as one document, or as one share of the rows if that is more; the shares, ``groups`` of them, are an
+argument, and bound what is collected.
 
-The cut comes from the labelled documents, each text once: of those, as many stay as are good.
+How many documents are drawn comes from the labelled ones, each text once: of those, as many stay
+as are good, and k is the number of all documents whose noisy weight is above theirs; the k
+largest are the sample.  A ``share`` asked for sets k directly.
 A fitted document is weighed there by the target model without itself, as one that is not
 labelled is.  Rows without labels, however many, move no cut.
 
+Very long texts are read whole, in pieces of a batch; other columns of any name are kept.
 Nulls, empties and repeats: a null or empty text has log weight 0; a null id takes part as it
 is; the noise hangs on id and text, so equal rows share one verdict; labels with a null id or
 quality are skipped, of repeated labels the lowest quality counts.  Without labelled documents
@@ -85,7 +89,7 @@ def minima(words: Words, singles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return full, out[full]
 
 
-def shared_minima(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
+def shared_minima(docs: DataFrame, groups: int = GROUPS) -> tuple[np.ndarray, np.ndarray, float]:
     """Least hashes that more rows share than a group may count for, ascending, their numbers
     of rows, and what a group may count for: ``MINIMA * GROUPS`` hashes at most."""
 
@@ -101,7 +105,7 @@ def shared_minima(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
                      .mapInArrow(least, "least long, n long")
                      .groupBy("least").agg(F.sum("n").alias("n")), "minima")
     rows = (counted.agg(F.sum("n")).first()[0] or 0) / MINIMA
-    most = max(1.0, rows / GROUPS)
+    most = max(1.0, rows / groups)
     found = counted.where(F.col("n") > most).toArrow()
     values, n = (found.column(c).to_numpy() for c in ("least", "n"))
     order = np.argsort(values)
@@ -125,23 +129,25 @@ def target_sample(labels: DataFrame, most: int = MAX_TARGET) -> DataFrame:
 
 
 def _flagged(docs: DataFrame, sample: DataFrame) -> DataFrame:
-    """``docs`` with ``good``: whether the target model is fitted on the row."""
-    return docs.join(F.broadcast(sample), docs["doc_id"].cast("long") == sample["good_id"],
-                     "left").withColumn("good", F.col("good_id").isNotNull())
+    """(doc_id, text, good) of ``docs``: whether the target model is fitted on the row."""
+    own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return own.join(F.broadcast(sample), F.col("doc_id") == F.col("good_id"), "left").select(
+        "doc_id", "text", F.col("good_id").isNotNull().alias("good"))
 
 
-def models(docs: DataFrame, sample: DataFrame, bits: int = BITS) -> np.ndarray:
+def models(docs: DataFrame, sample: DataFrame, bits: int = BITS,
+           groups: int = GROUPS) -> np.ndarray:
     """Two rows of ``2 ** bits`` n-gram counts: of the raw and of the target text.
 
     Raw counts cover every document, copies together as one.  Each task sends its counts in
     parts of fixed size, so the summed models have the same size whatever the input.
     """
     size = 1 << bits
-    groups = docs.sparkSession.sparkContext.broadcast(shared_minima(docs))
+    shared = docs.sparkSession.sparkContext.broadcast(shared_minima(docs, groups))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, size), dtype=np.int64)
-        values, rows, most = groups.value
+        values, rows, most = shared.value
         for batch in batches:
             good = batch.column(1).to_numpy(zero_copy_only=False)
             for a, b in pieces(batch.column(0)):
@@ -173,7 +179,7 @@ def models(docs: DataFrame, sample: DataFrame, bits: int = BITS) -> np.ndarray:
                          "target": pa.array([total("target")], pa.binary())})
 
     kind = "part int, raw binary, target binary"
-    flagged = _flagged(docs, sample).select(F.col("text").cast("string"), "good")
+    flagged = _flagged(docs, sample).select("text", "good")
     model = np.zeros((2, size))
     for row in flagged.mapInArrow(count, kind).groupBy("part").applyInArrow(add, kind).collect():
         raw = np.frombuffer(row[1], dtype=np.int64)
@@ -229,8 +235,7 @@ def weights(docs: DataFrame, sample: DataFrame, model: np.ndarray, bits: int = B
                       for x in (total, own)]],
                     names=["doc_id", "key", "text_key", "n_grams", "log_weight", "own_weight"])
 
-    return (_flagged(docs, sample).select(
-        F.col("doc_id").cast("long"), F.col("text").cast("string"), "good")
+    return (_flagged(docs, sample)
         .select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"),
                 F.xxhash64("text").alias("text_key"), "good")
         .mapInArrow(weigh, "doc_id long, key long, text_key long, n_grams long, "
@@ -291,13 +296,14 @@ def kth_largest(values: DataFrame, column: str, k: int, bins: int = 4096) -> flo
 
 
 def resample(docs: DataFrame, labels: DataFrame, share: float | None = None,
-             bits: int = BITS, strength: float = STRENGTH, seed: int = 17) -> DataFrame:
+             bits: int = BITS, strength: float = STRENGTH, seed: int = 17,
+             groups: int = GROUPS) -> DataFrame:
     """Every row of ``docs``: doc_id, key, n_grams, log_weight, sample_key, kept.
 
     Keeps a ``share`` of the documents, or by default what the labelled ones' cut keeps.
     """
     sample = stored(target_sample(labels), "target")
-    model = models(docs, sample, bits)
+    model = models(docs, sample, bits, groups)
     scored = stored(weights(docs, sample, model, bits, strength, seed), "weights")
     least, none = None, False
     if model[1].any():

@@ -18,21 +18,21 @@ def _secrets() -> str:
     base = [("assign", assign, 2, f"length(value) >= {secrets.ASSIGN_LENGTH}"),
             ("access", "AKIA[A-Z0-9]+", 0, "length(value) >= 18"),
             ("hex", "[0-9a-f]+", 0, "length(value) >= 16")]
-    allowed = " OR ".join(f"regexp_matches(value, '{p}')" for p in secrets.ALLOWED)
+    def fine(rules, value: str) -> str:
+        return " OR ".join(
+            f"(regexp_matches({value}, '{r.fits}')" + (
+                f" AND NOT regexp_matches({value}, '{r.flaw}'))" if r.flaw else ")")
+            for r in rules)
+
+    w = secrets.WINDOW
+    inside = "[^" + secrets.SEPARATORS + "]"
     more = []
     for own in secrets.CLASSES:
         symbols = "".join("\\" + c if c in "-+/=_" else c for c in own.symbols)
-        least = (
-            f"list_min(list_transform(range(1, length(value) - {secrets.WINDOW - 2}), lambda w: "
-            f"list_sum(list_transform(list_distinct(string_split(substr(value, w, "
-            f"{secrets.WINDOW}), '')), lambda c: CAST(round((length(substr(value, w, "
-            f"{secrets.WINDOW})) - length(replace(substr(value, w, {secrets.WINDOW}), c, ''))) * "
-            f"log2(length(substr(value, w, {secrets.WINDOW})) - length(replace(substr(value, w, "
-            f"{secrets.WINDOW}), c, ''))) * 65536) AS BIGINT)))))")
-        more.append((own.name, f"[{symbols}]{{{secrets.WINDOW},}}", 0,
-                     f"NOT ({allowed}) AND {least} <= {secrets.most_sum(own.least)}"))
+        more.append((own.name, f"[{symbols}]{{{w},}}", 0, f"NOT ({fine(secrets.ALLOWED_RUNS, 'value')})",
+                     secrets.most_sum(own.least)))
     parts, spans = [], []
-    for rank, (kind, pattern, group, holds) in enumerate(base + more):
+    for rank, (kind, pattern, group, holds, *most) in enumerate(base + more):
         parts.append(f"""m_{kind} AS (
     SELECT row, regexp_extract_all(text, '{pattern}', 0) AS ms,
            regexp_extract_all(text, '{pattern}', {group}) AS vs,
@@ -44,7 +44,29 @@ def _secrets() -> str:
                 + coalesce(list_sum(list_transform(ms[:i - 1], lambda p: length(p))), 0)
                 AS BIGINT) AS start
     FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM m_{kind})
-), k_{kind} AS (SELECT row, rank, kind, start, start + size AS stop FROM s_{kind} WHERE {holds})""")
+)""")
+        if not most:
+            parts.append(f"""k_{kind} AS (
+    SELECT row, rank, kind, start, start + size AS stop FROM s_{kind} WHERE {holds})""")
+        else:
+            count = "(length(part) - length(replace(part, c, '')))"
+            parts.append(f"""w_{kind} AS (
+    SELECT * REPLACE (substr(value, lead + 1) AS value),
+           list_transform(range(lead + 1, length(value) - {w - 2}), lambda i:
+        list_sum(list_transform(list_transform([substr(value, i, {w})], lambda part:
+            list_transform(list_distinct(string_split(part, '')), lambda c:
+                CAST(round({count} * log2({count}) * 65536) AS BIGINT)))[1], lambda x: x))) AS sums
+    FROM (SELECT *, length(regexp_extract(value, '^([A-Za-z]+[/=_-]+)*')) AS lead FROM s_{kind})
+    WHERE {holds} AND length(value) - lead >= {w}
+), f_{kind} AS (
+    SELECT row, rank, kind, start + lead AS start, value, list_position(sums, list_min(sums)) AS place
+    FROM w_{kind} WHERE list_min(sums) <= {most[0]}
+), k_{kind} AS (
+    SELECT row, rank, kind, start + first AS start, start + last AS stop FROM (
+        SELECT *, place - 1 - length(regexp_extract(substr(value, 1, place - 1), '{inside}*$')) AS first,
+               place + {w - 1} + length(regexp_extract(substr(value, place + {w}), '^{inside}*')) AS last
+        FROM f_{kind})
+    WHERE NOT ({fine(secrets.ALLOWED, 'substr(value, first + 1, last - first)')}))""")
         spans.append(f"SELECT * FROM k_{kind}")
     listed = ("coalesce(string_agg(kind || ':' || start || ':' || stop, ',' "
               "ORDER BY start, rank){}, '')")

@@ -14,7 +14,9 @@ anything moves, so a busy host is a row per neighbour.
 
 Nulls, empties and repeats: a null url, or one without ``://``, has an empty host and path, and
 an empty host takes no part in the graph; null html has no links; a null or repeated id is
-kept as it is, pages with equal urls get equal verdicts.  An empty table gives an empty result.
+kept as it is, pages with equal urls get equal verdicts.  Very long pages are read whole and a tag
+once; only the three columns named are read, others may have any name.  An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factorloom.llm.frames import stored
+from factorloom.session import small_side
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ROUNDS = 10
@@ -71,9 +74,14 @@ def best_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
 
 
 def host_edges(pages: DataFrame) -> DataFrame:
-    """(src, dst, links): counted links between different hosts of ``pages`` (host, html)."""
-    links = F.regexp_extract_all(F.coalesce(F.col("html").cast("string"), F.lit("")), F.lit(
-        r"""(?i)<a\s[^>]*?href\s*=\s*["']?([^"'\s>]+)"""), F.lit(1))
+    """(src, dst, links): counted links between different hosts of ``pages`` (host, html).
+
+    Tags are found first, each read once, then the link inside a tag.
+    """
+    tags = F.regexp_extract_all(F.coalesce(F.col("html").cast("string"), F.lit("")),
+                                F.lit(r"(?i)<a\s[^<>]*+"), F.lit(0))
+    links = F.filter(F.transform(tags, lambda tag: F.regexp_extract(
+        tag, r"""(?i)\shref\s*+=\s*+["']?([^"'\s]++)""", 1)), lambda u: u != "")
     absolute = F.filter(links, lambda u: u.rlike("^([A-Za-z][A-Za-z0-9+.-]*:)?//"))
     out = pages.select(F.col("host").alias("src"), F.explode(F.transform(
         absolute, lambda u: host_and_path(F.when(u.startswith("//"), F.concat(F.lit(":"), u))
@@ -82,15 +90,15 @@ def host_edges(pages: DataFrame) -> DataFrame:
             .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("links")))
 
 
-def family_edges(hosts: DataFrame) -> DataFrame:
+def family_edges(hosts: DataFrame, max_host: int = MAX_HOST) -> DataFrame:
     """(src, dst, links): each host and its parent domain, both ways, down to two labels.
 
-    Parents without pages are in the chain as well.  A name of more than ``MAX_HOST`` characters
-    is no host name and links with its parent only.
+    Parents without pages are in the chain as well.  A name of more than ``max_host`` characters,
+    more than the DNS permits, links with its parent only.
     """
     labels = F.split("host", r"\.")
     n = F.size(labels)
-    steps = F.when(F.length("host") <= MAX_HOST, n - 2).otherwise(F.lit(1))
+    steps = F.when(F.length("host") <= max_host, n - 2).otherwise(F.lit(1))
     up = hosts.where(n > 2).select(F.explode(F.transform(
         F.sequence(F.lit(1), steps), lambda i: F.struct(
             F.array_join(F.slice(labels, i, n), ".").alias("src"),
@@ -129,7 +137,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS,
         .alias("distrust"))
 
 
-def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, least: float = 0.0) -> DataFrame:
+def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, least: float = 0.0,
+          max_host: int = MAX_HOST) -> DataFrame:
     """Every page: page_id, host, path, rule, verdict, trust, distrust.
 
     Where no rule fits, a page is blocked if its host's trust less distrust, per seed page and
@@ -153,12 +162,15 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, least: float = 0.0)
     mass = F.broadcast(totals.agg(*[
         F.coalesce(F.max(F.when(F.col("way") == way, F.col("all"))), F.lit(0)).alias(name)
         for way, name in ((1, "allowed"), (-1, "blocked"))]))
-    edges = host_edges(known).unionByName(family_edges(hosts))
+    edges = host_edges(known).unionByName(family_edges(hosts, max_host))
     scores = propagate(edges, seeds).withColumnRenamed("host", "scored").crossJoin(mass)
     # the seeds' weights sum to 1 per way: times their number, one seed page weighs 1
     up, down = F.col("trust") * F.col("allowed"), F.col("distrust") * F.col("blocked")
     scores = scores.select("scored", "trust", "distrust", F.round(
         (up - down) / F.nullif(up + down, F.lit(0.0)), 10).alias("balance"))
+    # a host with scores is one with pages; a small table of them spares moving the pages
+    scores = small_side(scores.join(hosts.select(F.col("host").alias("scored")), "scored",
+                                    "left_semi"))
     joined = known.drop("html").join(scores, known["host"] == scores["scored"], "left")
     trust, distrust = (F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust"))
     return joined.select(

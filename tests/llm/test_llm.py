@@ -6,6 +6,7 @@ import math
 import os
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -76,7 +77,10 @@ SECRET_TEXTS = [
     "x deadbeefdeadbeef0123 and deadbeef", "0123456789abcdef" * 20, "secret=password=abcdefghijkl",
     "run q7Zt9LmX2vB4nKs8RwY1 here", "a/very/long/path/of/plain/words/only 12345678901234567890",
     "id 123e4567-e89b-12d3-a456-426614174000", "EXAMPLEq7Zt9LmX2vB4nKs8RwY1",
-    "token: q7Zt9LmX2vB4nKs8RwY1", "ſecret=abcdefghijklmnop"]
+    "token: q7Zt9LmX2vB4nKs8RwY1", "ſecret=abcdefghijklmnop",
+    "my_id=q7Zt9LmX2vB4nKs8RwY1uPa6", "sample_id=q7Zt9LmX2vB4nKs8RwY1uPa6/examples",
+    "KqWvZtRnBxYpLmDsHcJfTgVaQeUi", "aKqWvZtRnbxYplMdshCjfTgvaQeu", "thisIsALongIdentifierName",
+    "src/main/java/org/example/util/StringTools", "docs/q7Zt9LmX2vB4nKs8RwY1/readme_first"]
 
 
 def entropy(window):
@@ -93,12 +97,53 @@ def brute_spans(text):
     for rank, own in enumerate(secrets.CLASSES, 3):
         for m in re.finditer(f"[{re.escape(own.symbols)}]+", text):
             run, w = m[0], secrets.WINDOW
-            if len(run) >= w and not any(re.search(p, run) for p in secrets.ALLOWED) and max(
-                    entropy(run[i:i + w]) for i in range(len(run) - w + 1)) >= own.least - 1e-9:
-                out.append((m.start(), rank, m.end(), own.name))
+            lead = re.match("([A-Za-z]+[/=_-]+)*", run).end()
+            if len(run) < w + lead or any(re.search(r.fits, run) for r in secrets.ALLOWED_RUNS):
+                continue
+            run = run[lead:]
+            most, at = max((round(entropy(run[i:i + w]), 9), -i) for i in range(len(run) - w + 1))
+            if most < own.least - 1e-9:
+                continue
+            first, last = -at, -at + w
+            while first and run[first - 1] not in secrets.SEPARATORS:
+                first -= 1
+            while last < len(run) and run[last] not in secrets.SEPARATORS:
+                last += 1
+            if not any(re.search(r.fits, run[first:last]) and not (
+                    r.flaw and re.search(r.flaw, run[first:last])) for r in secrets.ALLOWED):
+                out.append((m.start() + lead + first, rank, m.start() + lead + last, own.name))
     return sorted(out)
 
 
+def test_secrets_behind_words_and_letters_only(spark):
+    texts = ["x my_id=q7Zt9LmX2vB4nKs8RwY1uPa6 y", "x sample_id=q7Zt9LmX2vB4nKs8RwY1uPa6 y",
+             "aKqWvZtRnbxYplMdshCjfTgvaQeu", "src/main/java/org/example/util/StringTools"]
+    rows = {r["text"]: r["s"] for r in secrets.scan(docs(spark, list(enumerate(texts))),
+                                                    names=("b", "s")).collect()}
+    found = [[t[x["start"]:x["stop"]] for x in rows[t]] for t in texts]
+    assert found == [["q7Zt9LmX2vB4nKs8RwY1uPa6"]] * 2 + [[texts[2]], []]
+
+
+MEGABYTE = 1_000_000
+LONG_TEXTS = ["a-" * (MEGABYTE // 2), "a/b" * (MEGABYTE // 3), "A" * (MEGABYTE // 8), "1" * (MEGABYTE // 8),
+              "password" + " " * MEGABYTE, "secret" * (MEGABYTE // 6), "AKIA" * (MEGABYTE // 4),
+              "0123456789abcde " * (MEGABYTE // 16), "token=" * (MEGABYTE // 6),
+              "é" * MEGABYTE, "=" * (MEGABYTE // 8), "12345678-" * (MEGABYTE // 60)]
+
+
+def test_long_texts_of_secrets(spark):
+    """No stack by length, no second look at what has been read."""
+    df = docs(spark, list(enumerate(LONG_TEXTS))).repartition(4)
+    begin = time.time()
+    assert len(secrets.digest(df).collect()) == len(LONG_TEXTS)
+    assert time.time() - begin < 240
+    keys = " ".join(f"{i:016x}" for i in range(16_000))
+    begin = time.time()
+    (row,) = secrets.redact(docs(spark, [(1, "é " + keys + " end")])).collect()
+    assert row["text"] == "é " + " ".join(["[SECRET]"] * 16_000) + " end"
+    assert time.time() - begin < 30
+
+
 def test_secret_spans_equal_brute_force(spark):
     df = docs(spark, list(enumerate(SECRET_TEXTS)) + [(3, SECRET_TEXTS[3])])
     found = secrets.scan(df, names=("b", "s")).select("text", "b", "s").collect()
