@@ -1,7 +1,10 @@
 """A training-data pipeline over ``documents``: each stage takes what the one before kept.
 
-All stages but the last return the columns of ``documents``; the last one returns the
-pieces of the packed sequences.
+All stages but the last return the columns of ``documents``; the last one returns the packed
+sequences.
+
+Null, empty and very long texts, repeated ids and rows, ties, empty tables and extra columns of any
+name have the results that the modules of the operators state; a stage keeps all columns.
 """
 
 from __future__ import annotations
@@ -34,8 +37,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its place in a sequence."""
-    return packing.pack_documents(docs)
+    """The sequences: texts, whose pieces they are and where these begin, room left."""
+    return packing.sequences(docs)
 
 
 STAGES = [
