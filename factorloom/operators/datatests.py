@@ -1,21 +1,19 @@
-"""Assertions over tables: each returns the rows that break it."""
+"""Assertions over tables: each returns the rows that break it.
+
+``checks`` states the same tests as data and counts their failures together.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factorloom.context import RunContext
 from factorloom.operators import aggregates, combine
 
-# Rows kept per failing test in a report.
-ROW_LIMIT = 1000
-
 
 def _rows(df: DataFrame, where: Column | None) -> DataFrame:
     return df if where is None else df.where(where)
@@ -104,50 +102,3 @@ def null_rate(df: DataFrame, column: str) -> DataFrame:
 
 def invalid_rate(df: DataFrame, column: str, value) -> DataFrame:
     return aggregates.rate_bps(df, F.col(column) == value)
-
-
-@dataclass(frozen=True)
-class DataTest:
-    """A named assertion; ``failures`` is its violating rows or a one-row number.
-
-    ``measure`` names the number column for rate tests; other tests count rows.  A test warns
-    above ``warn_over`` and fails above ``error_over``.
-    """
-
-    name: str
-    table: str
-    failures: DataFrame
-    measure: str | None = None
-    warn_over: int = 0
-    error_over: int = 0
-
-    def summary(self) -> DataFrame:
-        if self.measure:
-            total = F.coalesce(F.max(self.measure), F.lit(0)).cast("bigint")
-        else:
-            total = F.count(F.lit(1))
-        return self.failures.agg(total.alias("failures")).select(
-            F.lit(self.name).alias("test_name"), F.lit(self.table).alias("table_name"),
-            "failures",
-            F.when(F.col("failures") > self.error_over, "fail")
-            .when(F.col("failures") > self.warn_over, "warn").otherwise("pass").alias("status"),
-        )
-
-    def sample(self, limit: int = ROW_LIMIT) -> DataFrame:
-        """Violating rows for a report."""
-        return self.failures.limit(limit)
-
-
-def run_suite(tests: Sequence[DataTest], ctx: RunContext) -> DataFrame:
-    """One result row per test, computed together in one job."""
-    results = reduce(DataFrame.unionByName, [t.summary() for t in tests])
-    return results.withColumns({
-        "detected_at": F.lit(ctx.started_at), "invocation_id": F.lit(ctx.run_id),
-    })
-
-
-def require_pass(results: DataFrame) -> None:
-    """Stop a run whose suite has failing tests, and name all of them."""
-    failed = results.where("status = 'fail'").select("test_name").collect()
-    if failed:
-        raise RuntimeError("failing data tests: " + ", ".join(r[0] for r in failed))

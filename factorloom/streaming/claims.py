@@ -7,30 +7,85 @@ their position in a checkpoint, which replaces committed offsets.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from factorloom.catalogue import TableSpec
+from factorloom.session import cut_lineage, small_side
+from factorloom.sources.store import LOAD, Warehouse
+
 # Message fields, files per micro-batch, topic retention.
 MESSAGE_SCHEMA = ("ticker string, batch_id string, data_type string, source string,"
-                  " created_at_ts string, url string")
+                  " created_at_ts string, url string, seq bigint")
+MESSAGE_KEY = ("ticker", "batch_id", "data_type")
 FILES_PER_TRIGGER = 10
 RETENTION_HOURS = 24
 # What a failed message says where the fetch gave no reason.
 FETCH_FAILED = "fetch failed"
-# Folders of the compacted copy, and the column that names them.
-LOG_BUCKETS = 64
-LOG_BUCKET = "_key_bucket"
+# Messages of one key in one file.
+PART_ROWS = 100_000
+# Tables of the compacted copy and of what came since.
+LOG, LOG_NEWS = "log", "log_news"
+
+
+def numbered(tasks: DataFrame, key: str, order: Sequence[str], column: str = "seq") -> DataFrame:
+    """``tasks`` with a running number per key, in order, from 0.
+
+    Rows are range-partitioned by key and order, so a busy key lies over several tasks; each
+    counts its own rows of the key, and the counts before are added.
+    """
+    rows = cut_lineage(
+        tasks.repartitionByRange(key, *order).withColumn("_part", F.spark_partition_id()),
+        "ranged")
+    sizes = rows.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = small_side(sizes.select(F.col(key).alias("_key"), F.col("_part").alias("_of"),
+                                      F.coalesce(F.sum("_n").over(before), F.lit(0))
+                                      .alias("_offset")).where("_offset > 0"))
+    own = Window.partitionBy("_part", key).orderBy(*order)
+    return rows.withColumn("_at", F.row_number().over(own) - 1).join(
+        offsets, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_part") == F.col("_of")), "left"
+    ).select(*tasks.columns, (F.col("_at") + F.coalesce("_offset", F.lit(0))).cast("bigint")
+             .alias(column))
+
+
+def publish(tasks: DataFrame, topic: str, key: str = "ticker",
+            order: Sequence[str] = ("created_at_ts", "url"), part_rows: int = PART_ROWS) -> None:
+    """Append messages to a topic, each with its number among those of its key.
+
+    Files are dealt by key and, within a key, by ``part_rows`` numbers, so a key with a large
+    share of the messages is written by several tasks; its order is that of the numbers.
+    """
+    write_messages(tasks, topic, key, order, part_rows, "append")
 
 
-def publish(tasks: DataFrame, topic: str, key: str = "ticker") -> None:
-    """Append messages to a topic, the messages of one key in one partition's files."""
-    message = F.to_json(F.struct(*[c for c in tasks.columns])).alias("value")
-    keyed = tasks.repartition(key).sortWithinPartitions(key)
-    keyed.select(message).write.mode("append").text(topic)
+def write_messages(tasks: DataFrame, folder: str, key: str, order: Sequence[str],
+                   part_rows: int, mode: str) -> None:
+    rows = numbered(tasks, key, [c for c in order if c in tasks.columns])
+    part = F.floor(F.col("seq") / part_rows)
+    message = F.to_json(F.struct(*rows.columns)).alias("value")
+    (rows.repartition(key, part).sortWithinPartitions(key, "seq").select(message)
+     .write.mode(mode).text(folder))
+
+
+def publish_once(tasks: DataFrame, topic: str, batch: str, key: str = "ticker",
+                 order: Sequence[str] = ("created_at_ts", "url")) -> None:
+    """Publish a batch under its name, unless it is there whole.
+
+    A batch that was cut short is written anew; nobody has read it, as a topic is drained after
+    its batch is complete.
+    """
+    if not published(tasks.sparkSession, topic, batch):
+        write_messages(tasks, f"{topic}/batch={batch}", key, order, PART_ROWS, "overwrite")
+
+
+def published(spark: SparkSession, topic: str, batch: str) -> bool:
+    """Whether a batch has been published whole."""
+    return _exists(spark, f"{topic}/batch={batch}/_SUCCESS")
 
 
 def claim_checks(spark: SparkSession, topic: str, schema: str = MESSAGE_SCHEMA,
@@ -52,6 +107,19 @@ def parse_messages(lines: DataFrame, schema: str = MESSAGE_SCHEMA) -> DataFrame:
         "m.*").drop("_corrupt")
 
 
+def distinct_messages(messages: DataFrame, key: Sequence[str] = MESSAGE_KEY,
+                      within: str = f"{RETENTION_HOURS} hours") -> DataFrame:
+    """A stream that lets each message through once, however often it is published.
+
+    Messages are told apart by ``key`` and remembered until the watermark, ``within`` behind the
+    newest of them, has passed theirs; older ones that come later are left out.
+    """
+    timed = messages.withColumn("_created", F.coalesce(
+        F.try_to_timestamp("created_at_ts"), F.to_timestamp(F.lit("1970-01-01 00:00:00"))))
+    return (timed.withWatermark("_created", within)
+            .dropDuplicatesWithinWatermark(list(key)).drop("_created"))
+
+
 def split_failures(batch: DataFrame, ok: str = "ok") -> tuple[DataFrame, DataFrame]:
     """Rows whose fetch succeeded, and the rest; an unknown outcome is a failure."""
     good = F.coalesce(F.col(ok), F.lit(False))
@@ -106,23 +174,43 @@ def load_with_retry(spark: SparkSession, topic: str, landing: str, checkpoint: s
                     retry_fetch: Callable[[DataFrame], DataFrame] | None = None,
                     schema: str = MESSAGE_SCHEMA,
                     transform: Callable[[DataFrame], DataFrame] | None = None,
-                    files_per_trigger: int = FILES_PER_TRIGGER) -> dict[str, str]:
-    """Two passes: the topic first, then its failures; what fails twice goes to ``_dlq``."""
+                    files_per_trigger: int = FILES_PER_TRIGGER,
+                    once: Sequence[str] | None = None,
+                    within: str = f"{RETENTION_HOURS} hours") -> dict[str, str]:
+    """Two passes: the topic first, then its failures; what fails twice goes to ``_dlq``.
+
+    With ``once``, messages that repeat these columns are loaded once.
+    """
     folders = {
         "first": f"{landing}/pass=first", "retried": f"{landing}/pass=retry",
         "retry": f"{topic}_retry", "dlq": f"{topic}_dlq",
     }
     first = claim_checks(spark, topic, schema, files_per_trigger)
+    if once:
+        first = distinct_messages(first, once, within)
     load_pass(first, fetch, folders["first"], folders["retry"], f"{checkpoint}/first",
               transform).awaitTermination()
-    if _has_batches(spark, folders["retry"]):
+    if _exists(spark, folders["retry"]):
         again = claim_checks(spark, f"{folders['retry']}/*", schema, files_per_trigger)
         load_pass(again, retry_fetch or fetch, folders["retried"], folders["dlq"],
                   f"{checkpoint}/retry", transform, attempt=2).awaitTermination()
     return folders
 
 
-def _has_batches(spark: SparkSession, folder: str) -> bool:
+def landed(spark: SparkSession, landing: str) -> DataFrame | None:
+    """What ``load_with_retry`` has landed, with ``pass`` and ``epoch``; None if nothing."""
+    if not _exists(spark, landing):
+        return None
+    rows = spark.read.option("mergeSchema", "true").parquet(landing)
+    return rows if "ticker" in rows.columns else None
+
+
+def messages_in(spark: SparkSession, topic: str) -> DataFrame | None:
+    """The failed messages of a topic; None if there have been none."""
+    return parse_messages(spark.read.text(f"{topic}/*")) if _exists(spark, topic) else None
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
@@ -139,35 +227,46 @@ def compact_log(log: DataFrame, key: str, ts: str, as_of: datetime,
     return best.select(key, *[F.col(f"_m.{c}").alias(c) for c in (ts, *rest)])
 
 
-def compact_stream(messages: DataFrame, key: str, ts: str, folder: str, checkpoint: str,
+def compact_stream(messages: DataFrame, key: str, ts: str, store: Warehouse, checkpoint: str,
                    as_of: datetime, hours: int = RETENTION_HOURS) -> StreamingQuery:
-    """Keep a compacted copy of a topic: each batch replaces the key buckets it touches.
+    """Append each batch's newest message per key to the news of a compacted copy.
 
-    The copy is split by a hash of the key, in ``LOG_BUCKETS`` folders; only the versions that
-    a reader may still hold are kept.
+    A batch costs its own size, whatever the size of the copy; ``fold_log`` takes the news in.  A
+    replayed batch replaces its first try.
     """
-    from factorloom.catalogue import TableSpec
-    from factorloom.sources.store import TableStore
-
-    store = TableStore(messages.sparkSession, folder)
-    spec = TableSpec("log", "", (LOG_BUCKET,), ())
-    bucket = F.pmod(F.xxhash64(key), F.lit(LOG_BUCKETS)).cast("int")
+    spec = TableSpec(LOG_NEWS, "", (), ())
 
-    def compacted(rows: DataFrame) -> DataFrame:
-        return compact_log(rows.drop(LOG_BUCKET), key, ts, as_of, hours).withColumn(
-            LOG_BUCKET, bucket)
-
-    def merge(batch: DataFrame, epoch: int) -> None:
-        if store.exists("log"):
-            store.update_touched(batch.withColumn(LOG_BUCKET, bucket), spec,
-                                 lambda held, new: compacted(held.unionByName(new)))
-        else:
-            store.overwrite(compacted(batch), spec)
-        store.expire_versions("log")
+    def add(batch: DataFrame, epoch: int) -> None:
+        # a micro-batch has a session of its own
+        store.of(batch.sparkSession).append(compact_log(batch, key, ts, as_of, hours), spec, batch=f"{epoch:09d}")
 
     return (
-        messages.writeStream.foreachBatch(merge)
+        messages.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def compacted_log(store: Warehouse, key: str, ts: str, as_of: datetime,
+                  hours: int = RETENTION_HOURS) -> DataFrame:
+    """The newest message per key, of the copy and the news."""
+    parts = [store.read_or_none(LOG), store.read_or_none(LOG_NEWS)]
+    held = [p.drop(LOAD) for p in parts if p is not None]
+    if not held:
+        raise FileNotFoundError("nothing has been compacted")
+    both = held[0] if len(held) == 1 else held[0].unionByName(held[1])
+    return compact_log(both, key, ts, as_of, hours)
+
+
+def fold_log(store: Warehouse, key: str, ts: str, as_of: datetime,
+             hours: int = RETENTION_HOURS) -> DataFrame:
+    """Publish the compacted copy with the news, then drop the news it holds.
+
+    Taking news in twice changes nothing, so a crash between the two steps does no harm.
+    """
+    store.refresh(LOG_NEWS)
+    news = store.read(LOG_NEWS).select(LOAD).distinct().collect()
+    store.replace(compacted_log(store, key, ts, as_of, hours), TableSpec(LOG, "", (), ()))
+    store.drop_partitions(LOG_NEWS, news)
+    return store.read(LOG)

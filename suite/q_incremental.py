@@ -69,7 +69,7 @@ def full_refresh_table(spark, sf_dir):
     spec = TableSpec("per_supplier", "", (), ("l_suppkey",))
     lines = table(spark, sf_dir, "lineitem")
     for rows in (lines.where("l_quantity > 10"), lines):
-        held.overwrite(rows.groupBy("l_suppkey").agg(F.sum("l_quantity").alias("quantity")), spec)
+        held.replace(rows.groupBy("l_suppkey").agg(F.sum("l_quantity").alias("quantity")), spec)
     return held.read("per_supplier")
 
 

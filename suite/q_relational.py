@@ -19,7 +19,7 @@ from factorloom.operators import (
 )
 from factorloom.plans import cleaned, factors, serving
 from factorloom.session import scratch_path
-from factorloom.sources.store import TableStore
+from factorloom.sources.store import Warehouse
 from suite import inputs
 from suite.inputs import CTX, table
 from suite.models import models
@@ -578,9 +578,9 @@ def top_resource_queries(spark, sf_dir):
 def table_sort_order(spark, sf_dir):
     from pyspark.sql import Window as W
 
-    held = TableStore(spark, scratch_path(spark, "tables"))
-    held.overwrite(table(spark, sf_dir, "events"),
-                   TableSpec("events", "", ("event_type",), ("ts",)))
+    held = Warehouse(spark, scratch_path(spark, "tables"))
+    held.replace(table(spark, sf_dir, "events"),
+                 TableSpec("events", "", ("event_type",), ("ts",)))
     stored = held.read("events").select(
         "event_type", "ts", F.input_file_name().alias("file"),
         F.monotonically_increasing_id().alias("pos"))

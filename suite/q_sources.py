@@ -17,8 +17,8 @@ from suite.models import models
 from suite.registry import query
 
 
-def new_store(spark) -> store.TableStore:
-    return store.TableStore(spark, scratch_path(spark, "tables"))
+def new_store(spark) -> store.Warehouse:
+    return store.Warehouse(spark, scratch_path(spark, "tables"))
 
 
 @query("scan_table", """SELECT c_custkey, c_acctbal FROM customer
@@ -57,7 +57,7 @@ def table_registry(spark, sf_dir):
     held = new_store(spark)
     spec = TABLES["financial_reports_quarter"]
     held.create(spec)
-    held.append_evolve(inputs.reports(spark, sf_dir), spec)
+    held.append(inputs.reports(spark, sf_dir), spec)
     return held.read(spec.name).groupBy("year", "data_type").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("ticker").alias("n_tickers"),
         F.max("indicator_id").alias("max_id"))
@@ -77,8 +77,8 @@ def sink_append_evolve(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     old = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
     done = F.col("o_orderstatus") == "F"
-    held.append_evolve(orders.where(done).select(*old), ORDERS)
-    held.append_evolve(orders.where(~done).select(*old, "o_orderpriority"), ORDERS)
+    held.append(orders.where(done).select(*old), ORDERS)
+    held.append(orders.where(~done).select(*old, "o_orderpriority"), ORDERS)
     return held.read(ORDERS.name).groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"),
@@ -89,8 +89,8 @@ def sink_append_evolve(spark, sf_dir):
     WHERE o_totalprice > 100000 GROUP BY o_orderstatus""")
 def sink_overwrite(spark, sf_dir):
     held = new_store(spark)
-    held.overwrite(table(spark, sf_dir, "orders"), ORDERS)
-    held.overwrite(held.read(ORDERS.name).where("o_totalprice > 100000"), ORDERS)
+    held.replace(table(spark, sf_dir, "orders"), ORDERS)
+    held.replace(held.read(ORDERS.name).where("o_totalprice > 100000"), ORDERS)
     return held.read(ORDERS.name).groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("n_rows"))
 
@@ -131,9 +131,8 @@ def partition_retention(spark, sf_dir):
     held = new_store(spark)
     events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
     spec = TableSpec("audit", "", ("day",), ("ts",))
-    held.overwrite(events, spec)
-    kept = store.expire_partitions(held.read("audit"), "day", date(2024, 1, 30), 10)
-    held.overwrite(kept, spec)
+    held.append(events, spec)
+    held.expire("audit", "day", date(2024, 1, 30), 10)
     return held.read("audit").groupBy("day").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -142,7 +141,7 @@ def partition_retention(spark, sf_dir):
 def compact_files(spark, sf_dir):
     held = new_store(spark)
     spec = TableSpec("small", "", (), ("ts",))
-    held.overwrite(table(spark, sf_dir, "events").repartition(16), spec)
+    held.replace(table(spark, sf_dir, "events").repartition(16), spec)
     before = held.file_count("small")
     held.compact(spec)
     fewer = held.file_count("small") < before

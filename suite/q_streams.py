@@ -6,10 +6,11 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
+from factorloom.plans import landing
 from factorloom.session import scratch_path
-from factorloom.sources.store import TableStore
-from factorloom.streaming import audit, claims
-from suite.inputs import table
+from factorloom.sources.store import Warehouse
+from factorloom.streaming import audit, claims, event_windows
+from suite.inputs import CTX, table
 from suite.registry import query
 
 STREAM_FILES = 2
@@ -101,14 +102,15 @@ def stream_retry_dlq(spark, sf_dir):
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
 def stream_compact_latest(spark, sf_dir):
     source, folder, mark = (scratch_path(spark, n) for n in ("log", "compact", "checkpoint"))
+    store = Warehouse(spark, folder)
     rows = table(spark, sf_dir, "events").select("user_id", "ts", "event_id")
     rows.repartition(4).write.parquet(source)
     stream = spark.readStream.schema(rows.schema).option(
         "maxFilesPerTrigger", STREAM_FILES).parquet(source)
     as_of = datetime(2024, 1, 30, tzinfo=timezone.utc)
-    claims.compact_stream(stream, "user_id", "ts", folder, mark, as_of,
+    claims.compact_stream(stream, "user_id", "ts", store, mark, as_of,
                           hours=240).awaitTermination()
-    return TableStore(spark, folder).read("log").drop(claims.LOG_BUCKET)
+    return claims.fold_log(store, "user_id", "ts", as_of, hours=240)
 
 
 def query_events(spark, sf_dir):
@@ -157,3 +159,95 @@ def stream_audit_sink(spark, sf_dir):
     audit.audit_sink(stream, folder, mark, seconds=None).awaitTermination()
     return spark.read.parquet(folder).groupBy("day").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("scanned_bytes").alias("bytes"))
+
+
+# Event-time windows: those given out until the watermark, two hours behind the newest event.
+
+LATE = "2 hours"
+DONE = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 2 HOUR FROM events)"
+CENTS = "CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total"
+
+
+def windows(spark, sf_dir, count):
+    """Finished windows over the events as a stream, read back from the sink."""
+    source, folder, mark = (scratch_path(spark, n) for n in ("events", "windows", "checkpoint"))
+    rows = table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "value")
+    rows.withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(source)
+    stream = spark.readStream.schema(
+        "user_id bigint, event_type string, ts timestamp, value double").parquet(source)
+    event_windows.append_windows(count(stream), folder, mark).awaitTermination()
+    found = spark.read.parquet(folder)
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz")
+                              for c in ("window_start", "window_end")})
+
+
+@query("event_tumbling_counts", f"""SELECT window_start, window_start + INTERVAL 1 HOUR
+    AS window_end, event_type, count(*) AS n_events, {CENTS}
+    FROM (SELECT *, date_trunc('hour', ts) AS window_start FROM events)
+    WHERE window_start + INTERVAL 1 HOUR <= {DONE} GROUP BY ALL""")
+def event_tumbling_counts(spark, sf_dir):
+    return windows(spark, sf_dir, lambda s: event_windows.tumbling_counts(
+        s, "ts", "1 hour", ["event_type"], LATE, "value"))
+
+
+@query("event_sliding_counts", f"""SELECT window_start, window_start + INTERVAL 6 HOUR
+    AS window_end, count(*) AS n_events, {CENTS}
+    FROM (SELECT *, time_bucket(INTERVAL 2 HOUR, ts) - k * INTERVAL 2 HOUR AS window_start
+          FROM events, (VALUES (0), (1), (2)) AS steps(k))
+    WHERE window_start + INTERVAL 6 HOUR <= {DONE} GROUP BY window_start""")
+def event_sliding_counts(spark, sf_dir):
+    return windows(spark, sf_dir, lambda s: event_windows.sliding_counts(
+        s, "ts", "6 hours", "2 hours", lateness=LATE, total="value"))
+
+
+@query("event_session_counts", f"""SELECT min(ts) AS window_start,
+    max(ts) + INTERVAL 6 HOUR AS window_end, user_id, count(*) AS n_events, {CENTS}
+    FROM (SELECT *, sum(CASE WHEN ts - before <= INTERVAL 6 HOUR THEN 0 ELSE 1 END)
+          OVER (PARTITION BY user_id ORDER BY ts) AS session
+          FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events))
+    GROUP BY user_id, session HAVING max(ts) + INTERVAL 6 HOUR <= {DONE}""")
+def event_session_counts(spark, sf_dir):
+    return windows(spark, sf_dir, lambda s: event_windows.session_counts(
+        s, "ts", "6 hours", ["user_id"], LATE, "value"))
+
+
+@query("stream_dedup_messages", """SELECT event_type AS data_type, count(*) AS n_rows,
+    round(sum(CAST(value AS DECIMAL(18,2))), 2)::DOUBLE AS total FROM events GROUP BY 1""")
+def stream_dedup_messages(spark, sf_dir):
+    """All requests are published twice and loaded once, across micro-batches."""
+    topic, land, mark = (scratch_path(spark, n) for n in ("topic", "landing", "checkpoint"))
+    sent = claim_messages(spark, sf_dir).withColumn("batch_id", F.col("url"))
+    for _ in range(2):
+        claims.publish(sent, topic)
+    claims.load_with_retry(spark, topic, land, mark, responder(spark, sf_dir, "TRUE"),
+                           files_per_trigger=STREAM_FILES, once=claims.MESSAGE_KEY,
+                           within="60 days")
+    return spark.read.parquet(land).groupBy("data_type").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.col("payload").cast("decimal(18,2)")).cast("double").alias("total"))
+
+
+@query("ingest_run", """SELECT CAST(l_suppkey AS VARCHAR) AS ticker,
+    CAST(year(l_shipdate) AS INTEGER) AS year, CAST(sum(CAST(l_quantity AS DECIMAL(18,2)))
+    AS DOUBLE) AS amount FROM lineitem WHERE l_suppkey % 10 <> 0 GROUP BY 1, 2""")
+def ingest_run(spark, sf_dir):
+    """Suppliers ask for yearly amounts; every fifth fails at first, every tenth for good."""
+    store, folder = Warehouse(spark, scratch_path(spark, "tables")), scratch_path(spark, "feeds")
+    yearly = table(spark, sf_dir, "lineitem").groupBy(
+        F.col("l_suppkey").cast("string").alias("ticker"),
+        F.year("l_shipdate").alias("year")).agg(
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("amount"))
+    payload = yearly.groupBy("ticker").agg(F.collect_list(F.struct("year", "amount"))
+                                           .alias("data"))
+    keys = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("ticker"))
+
+    def fetch(every: int):
+        def answer(batch):
+            return batch.join(payload, "ticker", "left").withColumn(
+                "ok", F.col("ticker").cast("bigint") % every != 0)
+        return answer
+
+    landing.land(store, landing.FEEDS["dividend_year"], keys, fetch(5), CTX, folder, fetch(10))
+    amount = F.get_json_object("data", "$.amount").cast("double").alias("amount")
+    return store.read("dividend_year").where("year IS NOT NULL").select("ticker", "year", amount)

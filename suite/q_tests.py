@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factorloom.catalogue import STATEMENTS
 from factorloom.operators import datatests, observe
+from factorloom.operators.checks import Check, compiled
+from factorloom.operators.clean import with_audit
+from factorloom.plans.declared import checks_of
 from suite import inputs
 from suite.inputs import CTX, table
 from suite.models import models
@@ -94,12 +100,17 @@ def test_compound_unique(spark, sf_dir):
                                      ["o_custkey", "o_orderstatus"])
 
 
-@query("test_columns_contain", """SELECT 'o_comment' AS column_name, count(*) AS table_rows
+@query("test_columns_contain", """SELECT * FROM (VALUES
+    ('columns_o_orderkey_o_comment', CAST(1 AS BIGINT), 'fail'),
+    ('columns_o_orderkey_o_custkey', 0, 'pass')) AS v(test_name, failures, status)
+    UNION ALL SELECT 'unique_o_orderkey', count(o_orderkey) - count(DISTINCT o_orderkey), 'pass'
     FROM orders""")
 def test_columns_contain(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    missing = datatests.columns_contain(orders, ["o_orderkey", "o_comment"])
-    return missing.withColumn("table_rows", orders.agg(F.count(F.lit(1))).scalar())
+    results = compiled(orders, [Check("columns", ("o_orderkey", "o_comment")),
+                                Check("columns", ("o_orderkey", "o_custkey")),
+                                Check("unique", ("o_orderkey",))], "orders")
+    return results.select("test_name", "failures", "status")
 
 
 @query("test_row_count_between", """SELECT * FROM (SELECT count(*) AS n_rows FROM lineitem)
@@ -145,29 +156,82 @@ def invalid_rate(spark, sf_dir):
     return datatests.invalid_rate(rows, "status", "unqualified")
 
 
-@query("run_test_suite", """SELECT test_name, table_name, failures, CASE WHEN failures > e THEN
-    'fail' WHEN failures > w THEN 'warn' ELSE 'pass' END AS status, 'suite' AS invocation_id FROM (
-    SELECT 'not_null' AS test_name, 'orders' AS table_name,
-        count(CASE WHEN o_orderkey IS NULL THEN 1 END) AS failures, 0 AS w, 0 AS e FROM orders
-    UNION ALL SELECT 'size_range', 'part', count(CASE WHEN p_size > 45 THEN 1 END), 0, 1000000000
-        FROM part
-    UNION ALL SELECT 'discount_over_tax', 'lineitem',
-        count(CASE WHEN l_discount < l_tax THEN 1 END), 0, 0 FROM lineitem
-    UNION ALL SELECT 'return_rate', 'lineitem', count(CASE WHEN l_returnflag = 'R' THEN 1 END)
-        * 10000 // count(*), 499, 500 FROM lineitem)""")
+def _cell(value) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    return str(value).upper() if isinstance(value, bool) else str(value)
+
+
+def _failures(check: Check) -> str:
+    """The SQL for a check's failures in a table ``t``."""
+    c, values = check.columns[0], check.values
+    only = f"({check.where}) AND " if check.where else ""
+    rows = {
+        "not_null": f"{c} IS NULL", "null": f"{c} IS NOT NULL",
+        "in_set": f"{c} NOT IN ({', '.join(map(_cell, values))})",
+        "regex": f"NOT regexp_matches({c}, {_cell(values[0])})" if values else "",
+        "between": " OR ".join(f"{c} {op} {v}" for op, v in zip("<>", values) if v is not None),
+    }
+    if check.kind in rows:
+        return f"count(*) FILTER (WHERE {only}({rows[check.kind]}))"
+    if check.kind == "relationship":
+        return (f"count(*) FILTER (WHERE {only}{c} IS NOT NULL AND {c} NOT IN "
+                f"(SELECT {values[1]} FROM {PARENTS[values[0]]}))")
+    if check.kind == "unique":
+        key = " || '/' || ".join(f"CAST({k} AS VARCHAR)" for k in check.columns)
+        return f"count({key}) - count(DISTINCT {key})"
+    if check.kind == "rate":
+        return f"count(*) FILTER (WHERE {c} = {_cell(values[0])}) * 10000 // count(*)"
+    if check.kind == "distinct_count":
+        return f"CASE WHEN count(DISTINCT {c}) = {values[0]} THEN 0 ELSE 1 END"
+    if check.kind == "recent":
+        return (f"CASE WHEN max({c}) >= TIMESTAMP '{CTX.started_at:%Y-%m-%d %H:%M:%S}' "
+                f"- INTERVAL {values[0]} DAY THEN 0 ELSE 1 END")
+    return "0"
+
+
+PARENTS = {"gold_dim_company": "x_dim", "silver_dim_company": "x_companies"}
+LAYER_TABLES = {
+    "silver_historical_quotes": ("x_quotes", "silver"),
+    "silver_income_statement_quarter": ("x_is", "silver"),
+    "silver_balance_sheet_quarter": ("x_bs", "silver"),
+    "silver_cash_flow_quarter": ("x_cf", "silver"),
+    "gold_dim_company": ("x_dim", "gold"), "gold_qmj_z_final": ("x_qmj", "gold"),
+}
+
+
+def _suite_sql() -> str:
+    parts = []
+    for name, (source, layer) in LAYER_TABLES.items():
+        more = "0 AS total_value, " if source == "x_quotes" else ""
+        stamped = (f"(SELECT *, {more}'{CTX.run_id}' AS {layer}_invocation_id, TIMESTAMP "
+                   f"'{CTX.started_at:%Y-%m-%d %H:%M:%S}' AS {layer}_updated_at FROM {source})")
+        checks = checks_of(name, CTX)
+        counts = ", ".join(f"{_failures(c)} AS c{i}" for i, c in enumerate(checks))
+        rows = ", ".join(f"('{c.name}', c{i}, {c.warn_over}, {c.error_over})"
+                         for i, c in enumerate(checks))
+        parts.append(f"SELECT '{name}' AS table_name, v.* FROM (SELECT {counts} FROM {stamped} t)"
+                     f" n, LATERAL (VALUES {rows}) AS v(test_name, failures, w, e)")
+    union = " UNION ALL ".join(parts)
+    return (f"SELECT test_name, table_name, CAST(failures AS BIGINT) AS failures, CASE WHEN "
+            f"failures > e THEN 'fail' WHEN failures > w THEN 'warn' ELSE 'pass' END AS status "
+            f"FROM ({union})")
+
+
+@query("run_test_suite", _suite_sql())
 def run_test_suite(spark, sf_dir):
-    orders, part, lines = (table(spark, sf_dir, t) for t in ("orders", "part", "lineitem"))
-    results = datatests.run_suite([
-        datatests.DataTest("not_null", "orders", datatests.not_null(orders, "o_orderkey")),
-        datatests.DataTest("size_range", "part", datatests.between(part, "p_size", high=45),
-                           error_over=1_000_000_000),
-        datatests.DataTest("discount_over_tax", "lineitem",
-                           datatests.pair_greater(lines, "l_discount", "l_tax")),
-        datatests.DataTest("return_rate", "lineitem",
-                           datatests.invalid_rate(lines, "l_returnflag", "R"),
-                           measure="failure_bps", warn_over=499, error_over=500),
-    ], CTX)
-    return results.drop("detected_at")
+    """All declared checks of six layer tables, one scan of each."""
+    chain = models(spark, sf_dir)
+    dim = chain.dim_company()
+    found = {"silver_historical_quotes": chain.quotes(), "gold_dim_company": dim,
+             "gold_qmj_z_final": chain.qmj()}
+    found |= {f"silver_{kind}_quarter": chain.statement(kind) for kind in STATEMENTS}
+    parents = {"gold_dim_company": dim, "silver_dim_company": chain.companies()}
+    results = []
+    for name, (_, layer) in LAYER_TABLES.items():
+        df = found[name] if name == "gold_dim_company" else with_audit(found[name], layer, CTX)
+        results.append(compiled(df, checks_of(name, CTX), name, parents, CTX.started_at))
+    return reduce(DataFrame.unionByName, results)
 
 
 # Monitoring --------------------------------------------------------------------------------

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from factorloom.catalogue import FUNDAMENTAL_1, STATEMENTS, TABLES, TableSpec
+from factorloom.catalogue import FUNDAMENTAL_1, STATEMENTS
 from factorloom.functions import exprs, periods
 from factorloom.operators import (
     aggregates,
@@ -26,7 +26,7 @@ from factorloom.operators import (
     windows,
 )
 from factorloom.plans import cleaned
-from factorloom.sources import store, tables
+from factorloom.sources import tables
 
 
 def rows(df, *columns):
@@ -396,106 +396,7 @@ def test_record_state_rejects_repeats(spark, ctx):
     assert state.record_state(held, keys, "r", "b2", ctx).count() == 2
 
 
-# Storage -----------------------------------------------------------------------------------
-
-def test_store_versions_and_crash(spark, tmp_path):
-    held = store.TableStore(spark, str(tmp_path / "tables"))
-    spec = TableSpec("t", "", (), ())
-    held.overwrite(spark.range(3), spec)
-    held.overwrite(held.read("t").where("id > 0"), spec)
-    assert held.read("t").count() == 2 and held.versions("t") == [1, 2]
-    # A write that never committed leaves a folder no manifest names.
-    spark.range(100).write.parquet(str(tmp_path / "tables" / "t" / "data" / "write__=dead"))
-    assert held.read("t").count() == 2 and held.read("t", 1).count() == 3
-    held.overwrite(spark.range(9), spec)
-    assert held.versions("t")[-1] == 3 and held.read("t").count() == 9
-    held.expire_versions("t", keep=1)
-    assert held.versions("t") == [3] and held.read("t").count() == 9
-
-
-def test_merge_keeps_null_partitions_and_null_keys(spark, tmp_path):
-    held = store.TableStore(spark, str(tmp_path / "tables"))
-    spec = TableSpec("t", "", ("p",), ())
-    kind = "k int, p int, v int"
-    held.merge(spark.createDataFrame([(1, None, 1), (2, 2000, 1), (None, None, 1)], kind), spec,
-               ["k", "p"])
-    held.merge(spark.createDataFrame([(3, None, 3), (None, None, 9)], kind), spec, ["k", "p"])
-    assert rows(held.read("t"), "k", "p", "v") == rows(spark.createDataFrame(
-        [(1, None, 1), (2, 2000, 1), (3, None, 3), (None, None, 9)], kind), "k", "p", "v")
-
-
-def test_merge_and_compaction_keep_evolved_columns(spark, tmp_path):
-    held = store.TableStore(spark, str(tmp_path / "tables"))
-    spec = TableSpec("t", "k int, p int", ("p",), ("k",))
-    held.append_evolve(spark.createDataFrame([(1, 1), (2, 2)], "k int, p int"), spec)
-    held.append_evolve(spark.createDataFrame([(3, 1, "x")], "k int, p int, b string"), spec)
-    held.compact(spec)
-    held.merge(spark.createDataFrame([(4, 2)], "k int, p int"), spec, ["k", "p"])
-    held.compact(spec)
-    assert rows(held.read("t"), "k", "p", "b") == [
-        (1, 1, None), (2, 2, None), (3, 1, "x"), (4, 2, None)]
-
-
-def test_failed_merge_leaves_the_old_state(spark, tmp_path, monkeypatch):
-    held = store.TableStore(spark, str(tmp_path / "tables"))
-    spec = TableSpec("t", "", ("p",), ())
-    kind = "k int, p string"
-    held.merge(spark.createDataFrame([(1, "a")], kind), spec, ["k", "p"])
-
-    def lost(*_):
-        raise RuntimeError("executor lost")
-
-    monkeypatch.setattr(held, "_commit", lost)
-    with pytest.raises(RuntimeError):
-        held.merge(spark.createDataFrame([(2, "a")], kind), spec, ["k", "p"])
-    monkeypatch.undo()
-    assert rows(held.read("t"), "k", "p") == [(1, "a")]
-
-
-def test_batch_appended_twice_is_held_once(spark, tmp_path):
-    held = store.TableStore(spark, str(tmp_path / "tables"))
-    spec = TableSpec("t", "k int", (), ())
-    held.append_evolve(spark.createDataFrame([(1,)], "k int"), spec, batch="b1")
-    for _ in range(2):
-        held.append_evolve(spark.createDataFrame([(2,), (3,)], "k int"), spec, batch="b2")
-    assert rows(held.read("t"), "k") == [(1,), (2,), (3,)]
-
-
-def test_compaction_follows_partition_sizes(spark, tmp_path):
-    held = store.TableStore(spark, str(tmp_path / "tables"))
-    spec = TableSpec("t", "", ("p",), ())
-    df = spark.range(200_000).selectExpr("id", "uuid() AS u", "CAST(id < 1000 AS int) AS p")
-    held.overwrite(df.repartition(8), spec)
-    held.compact(spec, target_mb=1)
-    files = [f.split("/")[-2] for f in held.read("t").inputFiles()]
-    assert files.count("p=1") == 1 and 4 <= files.count("p=0") <= 16
-    assert held.read("t").count() == 200_000
-
-
-def test_partitioned_merge_rewrites_touched_only(spark, tmp_path):
-    held = store.TableStore(spark, str(tmp_path / "tables"))
-    spec = TableSpec("t", "", ("p",), ())
-    keys = ["k", "p"]
-    held.merge(spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "k int, p string, v int"), spec,
-               keys)
-    untouched = {f for f in held.read("t").inputFiles() if "/p=b/" in f}
-    held.merge(spark.createDataFrame([(1, "a", 9), (3, "a", 3)], "k int, p string, v int"), spec,
-               keys)
-    assert rows(held.read("t"), "k", "p", "v") == [(1, "a", 9), (2, "b", 1), (3, "a", 3)]
-    assert untouched and untouched <= set(held.read("t").inputFiles())
-
-
-def test_append_evolve_adds_columns(spark, tmp_path):
-    held = store.TableStore(spark, str(tmp_path / "tables"))
-    spec = TABLES["dividend_year"]
-    held.append_evolve(spark.createDataFrame([("a", 2020, "{}")], "ticker string, year int,"
-                                             " data string"), spec)
-    held.append_evolve(spark.createDataFrame([("b", 2021, "{}", 1)], "ticker string, year int,"
-                                             " data string, extra int"), spec)
-    got = held.read(spec.name)
-    assert rows(got, "ticker", "year", "extra") == [("a", 2020, None), ("b", 2021, 1)]
-    assert "bronze_ingested_time" in got.columns
-
+# Sources -----------------------------------------------------------------------------------
 
 def test_freshness_levels(spark):
     df = spark.sql("SELECT TIMESTAMP '2024-01-01' AS bronze_ingested_time")
@@ -534,19 +435,6 @@ def test_anomaly_rules(spark):
     assert got[11].is_anomaly is True and got[2].is_anomaly is False
 
 
-def test_suite_levels(spark, ctx):
-    df = spark.range(10)
-    results = datatests.run_suite([
-        datatests.DataTest("clean", "t", datatests.not_null(df, "id")),
-        datatests.DataTest("soft", "t", datatests.between(df, "id", high=7), error_over=5),
-        datatests.DataTest("hard", "t", datatests.between(df, "id", high=1)),
-    ], ctx)
-    assert rows(results, "test_name", "failures", "status") == [
-        ("clean", 0, "pass"), ("hard", 8, "fail"), ("soft", 2, "warn")]
-    with pytest.raises(RuntimeError, match="hard"):
-        datatests.require_pass(results)
-
-
 def test_company_keys_stay_apart_and_well_formed(spark):
     from suite import inputs
     from suite.inputs_sql import ticker
@@ -560,12 +448,3 @@ def test_company_keys_stay_apart_and_well_formed(spark):
     assert mine == [duckdb.sql(f"SELECT {ticker(str(k))}").fetchall()[0][0] for k in keys]
     assert cleaned.companies(df, inputs.KEY_PATTERN).count() == len(keys)
     assert cleaned.companies(df).count() == 0
-
-
-def test_require_pass_names_every_failing_test(spark):
-    results = spark.createDataFrame([(f"t{i:02d}", "fail") for i in range(30)] + [("ok", "pass")],
-                                    "test_name string, status string")
-    with pytest.raises(RuntimeError) as stopped:
-        datatests.require_pass(results)
-    assert all(f"t{i:02d}" in str(stopped.value) for i in range(30))
-    assert "ok" not in str(stopped.value).split(": ")[1].split(", ")
