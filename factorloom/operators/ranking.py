@@ -1,15 +1,17 @@
-"""Ranks and z-scores over groups.
-
-The caller says which way a group is ranked.  A cross-section, one row per company, is a plain
-window: lazy, all columns on one shuffle.  ``distributed`` is for groups that no task should
-hold, such as a whole table: equal values of all columns are counted first, the distinct
-values are range-partitioned by (column, group, value) in one pass, ranks are counted inside
-each range, and the number of rows in the ranges before it is added.  Both give the same ranks.
+"""Ranks and z-scores over groups of any size.
+
+No task holds a group.  Equal values are counted first, so that a value of many rows is one; the
+values of a group are cut at approximate quantiles into buckets; a value's rank is the rows in the
+buckets before and those before it in its own.  All columns go through this together, as
+(row, column, value); scores are those of the distinct values, from sums per group, and one
+join by value and one by row bring both back.  The cuts are stored before use, as are the rows:
+what is computed twice must come out the same.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -17,7 +19,9 @@ from pyspark.sql import functions as F
 
 from factorloom.session import cut_lineage, small_side
 
-_RANGE, _COUNT, _BEFORE = "_range", "_count", "_before"
+_RANGE, _COUNT, _BEFORE, _ROW = "_range", "_count", "_before", "_row"
+# Buckets that a group's values are cut into.
+BUCKETS = 64
 
 
 def _outputs(cols: Mapping[str, str] | Sequence[str], suffix: str) -> dict[str, str]:
@@ -58,48 +62,76 @@ def _positions(counted: DataFrame, by: Sequence[str], order: Sequence[Column]) -
     return placed.select(*rest, (F.col("l._inside") + F.col("r._start")).alias(_BEFORE))
 
 
-def rank_distributed(df: DataFrame, by: Sequence[str], cols: Mapping[str, str],
-                     descending: bool = False) -> DataFrame:
-    """Competition ranks without any group in one task; NULL values get a NULL rank.
-
-    One range pass ranks the values of all columns; each column then looks its ranks up.
-    """
-    df = cut_lineage(df)
+def _same(left: str, right: str, columns: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [
+        F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns], F.lit(True))
+
+
+def _value_ranks(counted: DataFrame, by: Sequence[str], descending: bool) -> DataFrame:
+    """Competition ranks of values: ``counted`` (by, _value, _count) with ``_rank``."""
+    cuts = [i / BUCKETS for i in range(1, BUCKETS)]
+    bounds = small_side(counted.groupBy(*by).agg(
+        F.percentile_approx("_value", cuts).alias("_cuts")))
+    bucketed = counted.alias("l").join(bounds.alias("r"), _same("l", "r", by)).select(
+        "l.*", F.size(F.filter("r._cuts", lambda c: F.col("l._value") > c)).alias("_bucket"))
+    way = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
+    earlier = W.unboundedPreceding, -1
+    starts = bucketed.groupBy(*by, "_bucket").agg(F.sum(_COUNT).alias("_size")).select(
+        *by, "_bucket", F.coalesce(F.sum("_size").over(
+            W.partitionBy(*by).orderBy(way).rowsBetween(*earlier)), F.lit(0)).alias("_start"))
+    own = W.partitionBy(*by, "_bucket").orderBy(_order("_value", descending))
+    inside = F.coalesce(F.sum(_COUNT).over(own.rowsBetween(*earlier)), F.lit(0))
+    placed = bucketed.withColumn("_inside", inside).alias("l").join(
+        starts.alias("r"), _same("l", "r", (*by, "_bucket")))
+    return placed.select(*[f"l.{c}" for c in counted.columns],
+                         (F.col("l._inside") + F.col("r._start") + 1).alias("_rank"))
+
+
+def _with_scores(ranked: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``ranked`` values with ``_score``: their ranks, standardised over the group's rows."""
+    n, r = F.col(_COUNT).cast("double"), F.col("_rank").cast("double")
+    sums = ranked.groupBy(*by).agg(F.sum(n).alias("_n"), F.sum(n * r).alias("_r1"),
+                                   F.sum(n * r * r).alias("_r2"))
+    mean = F.col("r._r1") / F.col("r._n")
+    # ranks are spread evenly: the difference keeps nearly all digits
+    spread = F.greatest(F.col("r._r2") - F.col("r._r1") * mean, F.lit(0.0))
+    deviation = F.sqrt(spread / F.nullif(F.col("r._n") - 1, F.lit(0.0)))
+    joined = ranked.alias("l").join(sums.alias("r"), _same("l", "r", by))
+    return joined.select("l.*", _standardised(F.col("l._rank"), mean, deviation).alias("_score"))
+
+
+def _ranked(df: DataFrame, by: Sequence[str], cols: Mapping[str, str], descending: bool,
+            scored: bool) -> DataFrame:
+    """``df`` with ranks of columns (out -> source), or with the scores of the ranks."""
+    rows = cut_lineage(df.withColumn(_ROW, F.monotonically_increasing_id()), "ranked-rows")
     kinds = {df.schema[c].dataType for c in cols.values()}
     # columns of several types are compared as doubles
     kind = kinds.pop() if len(kinds) == 1 else "double"
-    values = [df.where(F.col(c).isNotNull()).groupBy(*by, F.col(c).cast(kind).alias("_value"))
-              .agg(F.count(F.lit(1)).alias(_COUNT)).withColumn("_column", F.lit(i))
-              for i, c in enumerate(cols.values())]
-    counted = values[0]
-    for more in values[1:]:
-        counted = counted.unionByName(more)
-    placed = cut_lineage(_positions(counted, ["_column", *by], [_order("_value", descending)]))
-    for i, (out, column) in enumerate(cols.items()):
-        ranks = placed.where(F.col("_column") == i).select(
-            *by, "_value", (F.col(_BEFORE) + 1).alias(out))
-        match = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
-        match.append(F.col(f"l.{column}").cast(kind) == F.col("r._value"))
-        df = df.alias("l").join(ranks.alias("r"), match, "left").select("l.*", f"r.{out}")
-    return df
+    cells = F.array(*[F.struct(F.lit(i).alias("_column"), F.col(c).cast(kind).alias("_value"))
+                      for i, c in enumerate(cols.values())])
+    long = rows.select(_ROW, *by, F.inline(cells)).where("_value IS NOT NULL")
+    keys = ["_column", *by]
+    values = _value_ranks(long.groupBy(*keys, "_value").agg(F.count(F.lit(1)).alias(_COUNT)),
+                          keys, descending)
+    values = _with_scores(values, keys) if scored else values
+    out = "_score" if scored else "_rank"
+    match = _same("l", "r", keys) & (F.col("l._value") == F.col("r._value"))
+    found = long.alias("l").join(values.alias("r"), match).select(
+        f"l.{_ROW}", "l._column", f"r.{out}")
+    wide = found.groupBy(_ROW).agg(*[
+        F.max(F.when(F.col("_column") == i, F.col(out))).alias(name)
+        for i, name in enumerate(cols)])
+    return rows.join(wide, _ROW, "left").select(*df.columns, *cols)
 
 
 def xs_rank(df: DataFrame, by: Sequence[str], cols: Mapping[str, str] | Sequence[str],
-            descending: bool = False, nullable: bool = True,
-            distributed: bool = False) -> DataFrame:
+            descending: bool = False, nullable: bool = True) -> DataFrame:
     """Rank columns within ``by`` groups (out -> source), ties sharing the smaller rank.
 
     ``nullable`` leaves rows without a value unranked; otherwise they share the last rank.
     """
     outs = _outputs(cols, "_rank")
-    if distributed:
-        return _fill_last(rank_distributed(df, by, outs, descending), by, outs, nullable)
-    ranked = {}
-    for out, column in outs.items():
-        rank = F.rank().over(W.partitionBy(*by).orderBy(_order(column, descending)))
-        rank = rank.cast("bigint")
-        ranked[out] = F.when(F.col(column).isNotNull(), rank) if nullable else rank
-    return df.withColumns(ranked)
+    return _fill_last(_ranked(df, by, outs, descending, False), by, outs, nullable)
 
 
 def _fill_last(df: DataFrame, by: Sequence[str], outs: Mapping[str, str],
@@ -159,25 +191,6 @@ def zscore(df: DataFrame, by: Sequence[str], cols: Mapping[str, str] | Sequence[
     return joined.select("l.*", *scores)
 
 
-def rank_and_score(df: DataFrame, by: Sequence[str], cols: Mapping[str, str],
-                   distributed: bool = False) -> DataFrame:
-    """Ascending rank, then z-score of the rank (score -> source column).
-
-    The window way keeps rank and score on one partitioning.
-    """
-    ranks = {f"_r_{out}": c for out, c in cols.items()}
-    if distributed:
-        ranked = cut_lineage(rank_distributed(df, by, ranks))
-        scored = zscore(ranked, by, {out: f"_r_{out}" for out in cols})
-        return scored.drop(*ranks)
-    whole = W.partitionBy(*by)
-    ranked = df.withColumns({
-        r: F.when(F.col(c).isNotNull(),
-                  F.rank().over(whole.orderBy(F.col(c).asc_nulls_last())).cast("double"))
-        for r, c in ranks.items()
-    })
-    return ranked.withColumns({
-        out: _standardised(F.col(f"_r_{out}"), F.avg(f"_r_{out}").over(whole),
-                           F.stddev_samp(f"_r_{out}").over(whole))
-        for out in cols
-    }).drop(*ranks)
+def rank_and_score(df: DataFrame, by: Sequence[str], cols: Mapping[str, str]) -> DataFrame:
+    """Ascending rank, then z-score of the rank (score -> source column)."""
+    return _ranked(df, by, cols, False, True)

@@ -8,6 +8,7 @@ raw rows still has one row per day or quarter here.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -51,104 +52,113 @@ def rolling_sum(df: DataFrame, key: Sequence[str], order: str, columns: Mapping[
     return df.withColumns({out: F.sum(c).over(frame) for out, c in columns.items()})
 
 
-# Longest frame that is added up anew for every row.
-SHORT_FRAME = 64
+def _alone(series: Mapping[str, Sequence[Column]]) -> dict[str, Column]:
+    """The moments of one row: count, means, centred second moments, co-moment of a pair.
+
+    A series is a value, or a pair of values that count where both are there.
+    """
+    out = {}
+    for s, parts in series.items():
+        there = reduce(lambda a, b: a & b, [c.isNotNull() for c in parts])
+        out[f"_n_{s}"] = F.when(there, F.lit(1.0)).otherwise(F.lit(0.0))
+        for i, c in enumerate(parts):
+            out[f"_mean{i}_{s}"] = F.when(there, c).otherwise(F.lit(0.0))
+            out[f"_m{i}_{s}"] = F.lit(0.0)
+        if len(parts) == 2:
+            out[f"_co_{s}"] = F.lit(0.0)
+    return out
+
+
+def _together(a: str, b: str, series: Mapping[str, Sequence[Column]]) -> dict[str, Column]:
+    """The moments of two runs of rows, in columns with these prefixes; no rows are all zeros.
+
+    Only differences of means enter, so runs of one and the same value have exactly that mean
+    and no spread.
+    """
+    out = {}
+    for s, parts in series.items():
+        n, m = F.col(f"{a}_n_{s}"), F.col(f"{b}_n_{s}")
+        share = m / F.greatest(n + m, F.lit(1.0))
+        apart = [F.col(f"{b}_mean{i}_{s}") - F.col(f"{a}_mean{i}_{s}") for i in range(len(parts))]
+        out[f"{a}_n_{s}"] = n + m
+        for i, d in enumerate(apart):
+            out[f"{a}_mean{i}_{s}"] = F.col(f"{a}_mean{i}_{s}") + d * share
+            out[f"{a}_m{i}_{s}"] = (F.col(f"{a}_m{i}_{s}") + F.col(f"{b}_m{i}_{s}")
+                                    + d * d * n * share)
+        if len(parts) == 2:
+            out[f"{a}_co_{s}"] = (F.col(f"{a}_co_{s}") + F.col(f"{b}_co_{s}")
+                                  + apart[0] * apart[1] * n * share)
+    return out
 
 
 def _rolling(df: DataFrame, key: Sequence[str], order: str, n: int,
-             values: Mapping[str, Column], pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
-    """Moments of ``values`` over the last ``n`` rows, co-moments of ``pairs`` of them.
+             series: Mapping[str, Sequence[Column]]) -> DataFrame:
+    """Moments of ``series`` over the last ``n`` rows: for each _n, _mean0, _m0 (centred second
+    moment), for a pair _mean1, _m1 and _co as well, each with its name.
 
-    Adds per value _n (count), _mean, _m2 (centred second moment), _low and _high, per pair
-    _co.  Short frames are added up anew.  A long frame is the end of one block of ``n``
-    rows and the start of the next: running moments from either border meet there, so nothing
-    old is ever subtracted, and each row costs the same for any frame length.
+    The moments of the last 2, 4, 8, ... rows are those of half as many and of the half before,
+    a lag away; a frame is put together from the powers of two in its length.  So a row costs the
+    logarithm of the frame, nothing old is ever subtracted, and all lags read one sorted series.
     """
-    def stats(prefix: str, frame) -> dict[str, Column]:
-        out = {}
-        for v, c in values.items():
-            out |= {f"{prefix}n_{v}": F.count(c).over(frame),
-                    f"{prefix}mean_{v}": F.avg(c).over(frame),
-                    f"{prefix}m2_{v}": F.var_pop(c).over(frame) * F.count(c).over(frame),
-                    f"{prefix}low_{v}": F.min(c).over(frame),
-                    f"{prefix}high_{v}": F.max(c).over(frame)}
-        for p, (x, y) in pairs.items():
-            a, b = values[x], values[y]
-            out[f"{prefix}co_{p}"] = F.covar_pop(a, b).over(frame) * F.count(a).over(frame)
-        return out
-
-    series = _series(key, order)
-    if n <= SHORT_FRAME:
-        return df.withColumns(stats("_", series.rowsBetween(-(n - 1), 0)))
-    df = df.withColumn("_pos", F.row_number().over(series) - 1)
-    df = df.withColumn("_block", F.floor(F.col("_pos") / n))
-    up_to = W.unboundedPreceding, 0
-    block = W.partitionBy(*key, "_block")
-    df = df.withColumns(stats("_t_", block.orderBy(F.desc(order)).rowsBetween(*up_to)))
-    tails = stats("_t_", series)
-    start = block.orderBy(order).rowsBetween(*up_to)
-    whole = W.partitionBy(*key).orderBy("_block", order)
-    before = (F.col("_block") > 0) & (F.col("_pos") % n < n - 1)
-    df = df.withColumns({
-        **stats("_h_", start),
-        **{f"_p{t}": F.when(before, F.lag(t, n - 1).over(whole)) for t in tails}})
-    merged, means = {}, {}
-    for v in values:
-        near, far = F.col(f"_h_n_{v}"), F.coalesce(f"_p_t_n_{v}", F.lit(0))
-        total = F.nullif(near + far, F.lit(0))
-        apart = F.coalesce(F.col(f"_h_mean_{v}") - F.col(f"_p_t_mean_{v}"), F.lit(0.0))
-        means[v] = apart, near * far / total
-        merged |= {
-            f"_n_{v}": near + far,
-            f"_mean_{v}": (near * F.coalesce(f"_h_mean_{v}", F.lit(0.0))
-                           + far * F.coalesce(f"_p_t_mean_{v}", F.lit(0.0))) / total,
-            f"_m2_{v}": F.coalesce(f"_h_m2_{v}", F.lit(0.0))
-            + F.coalesce(f"_p_t_m2_{v}", F.lit(0.0)) + apart * apart * means[v][1],
-            f"_low_{v}": F.least(f"_h_low_{v}", f"_p_t_low_{v}"),
-            f"_high_{v}": F.greatest(f"_h_high_{v}", f"_p_t_high_{v}")}
-    for p, (x, y) in pairs.items():
-        merged[f"_co_{p}"] = (
-            F.coalesce(f"_h_co_{p}", F.lit(0.0)) + F.coalesce(f"_p_t_co_{p}", F.lit(0.0))
-            + means[x][0] * means[y][0] * means[x][1])
-    return df.withColumns(merged)
-
-
-def _spread(value: str) -> Column:
-    """The centred second moment of a window, exactly 0 where all its values are equal."""
-    return F.when(F.col(f"_low_{value}") < F.col(f"_high_{value}"), F.col(f"_m2_{value}")
-                  ).otherwise(F.lit(0.0))
+    keep, sorted_by = df.columns, _series(key, order)
+    own = _alone(series)
+    df = df.withColumns({f"_run{c}": v for c, v in own.items()})
+
+    def lagged(prefix: str, rows: int) -> dict[str, Column]:
+        return {f"{prefix}{c}": F.lag(f"_run{c}", rows, 0.0).over(sorted_by) for c in own}
+
+    width, covered = 1, 0
+    while width <= n:
+        more, longer = bool(n & width), 2 * width <= n
+        lags = lagged("_more", covered) if more and covered else {}
+        lags |= lagged("_half", width) if longer else {}
+        df = df.withColumns(lags) if lags else df
+        new = {}
+        if more and covered:
+            new |= _together("_all", "_more", series)
+        elif more:
+            new |= {f"_all{c}": F.col(f"_run{c}") for c in own}
+        if longer:
+            new |= _together("_run", "_half", series)
+        df = df.withColumns(new).drop(*lags)
+        covered += width if more else 0
+        width *= 2
+    return df.select(*keep, *[F.col(f"_all{c}").alias(c) for c in own])
 
 
 def rolling_stddev(df: DataFrame, key: Sequence[str], order: str, columns: Mapping[str, str],
                    n: int, counts: Mapping[str, str] | None = None) -> DataFrame:
     """Sample deviation over the last ``n`` rows (out -> column), with optional value counts."""
-    keep = df.columns
     rolled = _rolling(df, key, order, n,
-                      {out: F.col(c).cast("double") for out, c in columns.items()}, {})
+                      {out: [F.col(c).cast("double")] for out, c in columns.items()})
     results = {}
     for out in columns:
         count = F.col(f"_n_{out}")
-        results[out] = F.when(count > 1, F.sqrt(_spread(out) / F.when(count > 1, count - 1)))
+        results[out] = F.when(count > 1, F.sqrt(F.col(f"_m0_{out}") / F.greatest(
+            count - 1, F.lit(1.0))))
     for name, out in (counts or {}).items():
         results[name] = F.col(f"_n_{out}").cast("bigint")
-    return rolled.select(*keep, *[v.alias(k) for k, v in results.items()])
+    return rolled.select(*df.columns, *[v.alias(k) for k, v in results.items()])
 
 
 def rolling_corr(df: DataFrame, key: Sequence[str], order: str, x: str, y: str, n: int,
                  out: str = "corr", count: str | None = None) -> DataFrame:
     """Pearson correlation over the last ``n`` rows, pairs with a NULL left out."""
-    keep = df.columns
-    both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    values = {"x": F.when(both, F.col(x).cast("double")),
-              "y": F.when(both, F.col(y).cast("double")), "k": F.col(x).cast("double")}
-    rolled = _rolling(df, key, order, n, values, {"xy": ("x", "y")})
-    spread_x, spread_y = _spread("x"), _spread("y")
-    defined = (F.col("_n_x") > 1) & (spread_x > 0) & (spread_y > 0)
-    joint = F.col("_co_xy") / (F.sqrt(F.when(defined, spread_x)) * F.sqrt(spread_y))
+    rolled = _rolling(df, key, order, n,
+                      {"xy": [F.col(x).cast("double"), F.col(y).cast("double")]})
+    spread_x, spread_y = F.col("_m0_xy"), F.col("_m1_xy")
+    defined = (F.col("_n_xy") > 1) & (spread_x > 0) & (spread_y > 0)
+    joint = F.col("_co_xy") / F.when(defined, F.sqrt(spread_x) * F.sqrt(spread_y))
     results = [F.when(defined, joint).alias(out)]
     if count:
-        results.append(F.col("_n_k").cast("bigint").alias(count))
-    return rolled.select(*keep, *results)
+        results.append(F.count(x).over(_series(key, order).rowsBetween(
+            W.unboundedPreceding, 0)).alias("_seen"))
+    rolled = rolled.select(*df.columns, *results)
+    if not count:
+        return rolled
+    # whole numbers, so the count before may be subtracted
+    gone = F.lag("_seen", n, 0).over(_series(key, order))
+    return rolled.withColumn(count, F.col("_seen") - gone).drop("_seen")
 
 
 def running_stats(df: DataFrame, key: Sequence[str], order: str, value: str,

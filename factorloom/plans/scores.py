@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factorloom.operators import clean, combine, quality
-from factorloom.operators.ranking import rank_and_score, xs_rank, zscore
+from factorloom.operators.ranking import rank_and_score
 from factorloom.plans.panel import QUARTER
 
 BY_QUARTER = ("absolute_quarter",)
@@ -92,14 +92,10 @@ def value_momentum_z(value: DataFrame, momentum: DataFrame) -> DataFrame:
 def value_momentum_z_live(value: DataFrame, momentum: DataFrame) -> DataFrame:
     """The same over the whole market at once.
 
-    All rows form one group, so the rank runs over range partitions and the z-score uses
-    whole-table statistics.
+    All rows form one group.
     """
     v = clean.qualified_only(value).select("ticker", "value_recent_score")
     m = clean.qualified_only(momentum).select("ticker", "momentum_recent")
     scores = {"z_value_recent": "value_recent_score", "z_momentum_recent": "momentum_recent"}
-    joined = v.join(m, "ticker", "full").withColumn("_market", F.lit(1))
-    ranks = {f"_r_{z}": raw for z, raw in scores.items()}
-    ranked = xs_rank(joined, ["_market"], ranks, distributed=True)
-    rows = zscore(ranked, [], {z: f"_r_{z}" for z in scores}).drop("_market", *ranks)
+    rows = rank_and_score(v.join(m, "ticker", "full"), [], scores)
     return quality.apply_rules(rows, quality.component_null_rules(list(scores)))

@@ -469,10 +469,10 @@ def lines(spark, sf_dir):
     rank() OVER (PARTITION BY l_returnflag ORDER BY l_quantity) AS quantity_rank
     FROM lineitem""")
 def rank_cross_section(spark, sf_dir):
-    """Three groups hold all rows, so the rank runs over range partitions."""
+    """Three groups hold all rows."""
     rows = ranking.xs_rank(
         lines(spark, sf_dir), ["l_returnflag"],
-        {"price_rank": "l_extendedprice", "quantity_rank": "l_quantity"}, distributed=True)
+        {"price_rank": "l_extendedprice", "quantity_rank": "l_quantity"})
     return rows.drop("l_returnflag", "l_quantity")
 
 

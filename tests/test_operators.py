@@ -284,25 +284,49 @@ def scored(spark):
         "CASE WHEN id % 11 = 0 THEN NULL WHEN id % 2 = 0 THEN 1.0 ELSE (id * 37) % 101 END AS v")
 
 
-@pytest.mark.parametrize("descending", [False, True])
-@pytest.mark.parametrize("nullable", [False, True])
-def test_distributed_rank_equals_window(spark, descending, nullable):
-    df = scored(spark)
-    small, large = (
-        ranking.xs_rank(df, ["g"], {"r": "v"}, descending, nullable, distributed=d)
-        for d in (False, True))
-    assert rows(small, "id", "r") == rows(large, "id", "r")
+def window_ranks(df, columns, descending=False, nullable=True):
+    """The ranks by plain windows, a whole group in each."""
+    for out, c in columns.items():
+        order = F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last()
+        rank = F.rank().over(W.partitionBy("g").orderBy(order)).cast("bigint")
+        df = df.withColumn(out, F.when(F.col(c).isNotNull(), rank) if nullable else rank)
+    return df
 
 
-def test_rank_and_score_paths_agree(spark):
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("nullable", [False, True])
+def test_rank_equals_window(spark, descending, nullable):
+    df = scored(spark).withColumns({"w": F.col("id") * 7 % 2999, "none": F.lit(None).cast("int")})
+    outs = {"r": "v", "s": "w", "t": "none"}
+    got = ranking.xs_rank(df, ["g"], outs, descending, nullable)
+    assert got.columns == [*df.columns, *outs]
+    assert rows(got, "id", *outs) == rows(
+        window_ranks(df, outs, descending, nullable), "id", *outs)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert all("_bucket" in line or "_column" in line for line in plan.splitlines()
+               if "Window [" in line)
+
+
+def test_rank_of_null_groups_repeats_and_no_rows(spark):
+    df = spark.createDataFrame([(None, 1.5), (None, 1.5), ("a", 2.0), ("a", None), ("a", 2.0)],
+                               "g string, v double")
+    got = ranking.rank_and_score(ranking.xs_rank(df, ["g"], {"r": "v"}), ["g"], {"z": "v"})
+    assert rows(got, "g", "v", "r", "z") == rows(spark.createDataFrame(
+        [(None, 1.5, 1, None), (None, 1.5, 1, None), ("a", 2.0, 1, None), ("a", None, None, None),
+         ("a", 2.0, 1, None)], "g string, v double, r bigint, z double"), "g", "v", "r", "z")
+    assert ranking.xs_rank(df.limit(0), ["g"], {"r": "v"}).collect() == []
+
+
+def test_rank_and_score_equals_windows(spark):
     df = scored(spark)
-    a = ranking.rank_and_score(df, ["g"], {"z": "v"}).select("id", F.round("z", 9))
-    b = ranking.rank_and_score(df, ["g"], {"z": "v"}, distributed=True).select("id", F.round("z", 9))
-    assert rows(a) == rows(b)
-    stats = ranking.rank_and_score(df, ["g"], {"z": "v"}).groupBy("g").agg(
-        F.avg("z").alias("m"), F.stddev_samp("z").alias("s"))
-    for r in stats.collect():
-        assert abs(r.m) < 1e-9 and abs(r.s - 1) < 1e-9
+    by = W.partitionBy("g")
+    want = window_ranks(df, {"r": "v"}).withColumn(
+        "z", (F.col("r") - F.avg("r").over(by)) / F.stddev_samp("r").over(by))
+    got = ranking.rank_and_score(df, ["g"], {"z": "v"})
+    assert rows(got.select("id", F.round("z", 9))) == rows(want.select("id", F.round("z", 9)))
+    every = ranking.rank_and_score(df, [], {"z": "v"}).agg(
+        F.round(F.avg("z"), 9), F.round(F.stddev_samp("z"), 9)).first()
+    assert tuple(every) == (0.0, 1.0)
 
 
 def test_zscore_of_constant_group_is_null(spark):
