@@ -1,8 +1,8 @@
 """Joins and set operations.
 
-No join carries an unconditional broadcast hint: Spark broadcasts a side by its own size
-statistics or, at run time, by its shuffle size.  ``with_benchmark`` is the exception, its
-right side holding one row per calendar day by construction.
+No join carries an unconditional broadcast hint.  Sides that are small in use, a benchmark's days
+or a lookup table, are stored and broadcast if their files are small (``session.small_side``);
+elsewhere Spark decides by its own size statistics or, at run time, by shuffle sizes.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factorloom.session import small_side
+
 
 def left_dims(fact: DataFrame, dims: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     return reduce(lambda left, right: left.join(right, list(keys), "left"), dims, fact)
@@ -32,19 +34,20 @@ def with_benchmark(series: DataFrame, benchmark: DataFrame, day: str = "date",
                    prefix: str = "mkt_") -> DataFrame:
     """Attach the benchmark's row of the same day.
 
-    The benchmark is reduced to one row per day first, so the broadcast side grows with the
-    calendar only.
+    The benchmark is reduced to one row per day first, so that side grows with the calendar only.
     """
     values = [c for c in benchmark.columns if c != day]
     picked = F.max(F.struct(*values)).alias("_v")
     daily = benchmark.groupBy(day).agg(picked).select(
         day, *[F.col(f"_v.{c}").alias(f"{prefix}{c}") for c in values]
     )
-    return series.join(F.broadcast(daily), day)
+    return series.join(small_side(daily), day)
 
 
 def lookup_left(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    return df.join(table, key, "left")
+    """Rows with the columns of a lookup table, which may be of any size but is small in use: a
+    key with a third of the rows then needs no shuffle."""
+    return df.join(small_side(table), key, "left")
 
 
 def join_where(left: DataFrame, right: DataFrame, keys: Sequence[str],

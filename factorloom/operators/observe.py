@@ -95,7 +95,7 @@ def with_reverse_index(runs: DataFrame, key: str = "unique_id", by: str = "gener
 def _describe(runs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Runs with the attributes of their node; the run's own materialization wins."""
     own = nodes.withColumnRenamed("materialization", "_node_materialization")
-    joined = runs.join(own, "unique_id")
+    joined = runs.join(small_side(own), "unique_id")
     best = F.coalesce("materialization", "_node_materialization")
     return joined.withColumn("materialization", best).drop("_node_materialization")
 
