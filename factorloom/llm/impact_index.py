@@ -9,10 +9,15 @@ dimension it was not met in adds no more than the wave's least impact.  A vector
 when its upper bound is below a score that k others are proven to reach; processing stops
 when few vectors are left, and those get their exact scores.
 
+A block is one stored row.  Queries are broadcast in sets of bounded size, and each set reads the
+stored blocks where they lie: no posting is moved for it.
+
 Nulls, empties and repeats: a vector that is null or empty, or holds a null or non-finite
-component, takes no part; a row with a null id is a candidate that loses ties, never a query;
+component, takes no part, nor does one whose scores might pass 2^58 (its size times the square of
+its largest component); a row with a null id is a candidate that loses ties, never a query;
 rows that repeat an id are candidates each; vectors are compared with those of the same
-length.  An empty table gives an empty result.
+length.  Only the two columns named are read, others may have any name.  An empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -21,30 +26,35 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from factorloom.llm.frames import stored, task_id
+from factorloom.llm.frames import stored
 
 SCALE = 1024
 LEVEL_BITS = 4
 BLOCK_ROWS = 1 << 15
 WAVES = 8
 _NO_ID = np.iinfo(np.int64).max
-_INDEX = ("block long, dim int, level long, at array<int>, "
-          "row long, vec_id long, vector array<long>")
+LIMIT = 1 << 58
+_PARTS = {"rows": np.int64, "ids": np.int64, "vectors": np.int32, "dims": np.int32,
+          "levels": np.int32, "ends": np.int64, "at": np.int32}
+_INDEX = "size int, " + ", ".join(f"{part} binary" for part in _PARTS)
 
 
 def quantise(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """(row, vec_id, vector) of the usable rows, components as floor(scale * x)."""
-    x = F.col("embedding").cast("array<double>")
-    bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+    scaled = F.transform(F.col("embedding").cast("array<double>"), lambda v: v * scale)
+    unfit = F.exists("x", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+    largest = F.array_max(F.transform("x", lambda v: F.abs(F.floor(v)).cast("double")))
     return stored(
-        vectors.where(x.isNotNull() & (F.size(x) > 0) & ~bad).select(
-            F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long"),
-            F.transform(x, lambda v: F.floor(v * scale).cast("long")).alias("vector")), "vectors")
+        vectors.select(F.col("vec_id").cast("long"), scaled.alias("x")).where(F.size("x") > 0)
+        .select("*", unfit.alias("unfit"), largest.alias("largest"))
+        .where(~F.col("unfit")
+               & (F.size("x") * F.col("largest") * F.col("largest") < float(LIMIT)))
+        .select(F.monotonically_increasing_id().alias("row"), "vec_id",
+                F.transform("x", lambda v: F.floor(v).cast("int")).alias("vector")), "vectors")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -53,47 +63,43 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def build_index(quantised: DataFrame, block_rows: int = BLOCK_ROWS,
                 level_bits: int = LEVEL_BITS) -> DataFrame:
-    """The stored index.  Rows with a dimension are posting segments; rows without are the
-    block's vectors in order, for the exact scores."""
+    """The stored index, a row per block: the vectors' rows, ids and components in order, and the
+    posting segments by dimension and level, as ends in the list of places."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[pa.RecordBatch]] = {}
-        number = 0
 
-        def flush(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            nonlocal number
-            block, number = (task_id() << 32) + number, number + 1
+        def flush(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
             rows = pa.Table.from_batches(parts).combine_chunks()
             values = _matrix(rows["vector"].combine_chunks())
             levels = values >> level_bits
+            dims, heights, ends, at = [], [], [], []
             for d in range(values.shape[1]):
-                order = np.argsort(levels[:, d], kind="stable").astype(np.int32)
+                order = np.argsort(levels[:, d], kind="stable")
                 own = levels[order, d]
-                heads = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-                m = len(heads)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(m, block)), pa.array(np.full(m, d, np.int32)),
-                    pa.array(own[heads]), pa.ListArray.from_arrays(
-                        pa.array(np.r_[heads, len(own)], pa.int32()), pa.array(order)),
-                    pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
-                    pa.nulls(m, pa.list_(pa.int64()))], names=names)
-            n = len(values)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(n, block)), pa.nulls(n, pa.int32()),
-                pa.array(np.arange(n), pa.int64()), pa.nulls(n, pa.list_(pa.int32())),
-                rows["row"].combine_chunks(), rows["vec_id"].combine_chunks(),
-                rows["vector"].combine_chunks()], names=names)
+                last = np.flatnonzero(np.r_[own[1:] != own[:-1], True])
+                dims.append(np.full(len(last), d))
+                heights.append(own[last])
+                ends.append(d * len(own) + last + 1)
+                at.append(order)
+            found = {"rows": rows["row"].to_numpy(), "vectors": values,
+                     "ids": rows["vec_id"].fill_null(_NO_ID).to_numpy(),
+                     **{k: np.concatenate(v) for k, v in (
+                         ("dims", dims), ("levels", heights), ("ends", ends), ("at", at))}}
+            return pa.RecordBatch.from_pydict({
+                "size": pa.array([values.shape[1]], pa.int32()),
+                **{part: pa.array([found[part].astype(kind).tobytes()], pa.binary())
+                   for part, kind in _PARTS.items()}})
 
         for batch in batches:
             size = batch.column(2).value_lengths().to_numpy()
             for n in np.unique(size).tolist():
                 held.setdefault(n, []).append(batch.filter(pa.array(size == n)))
                 if sum(map(len, held[n])) >= block_rows:
-                    yield from flush(held.pop(n))
+                    yield flush(held.pop(n))
         for parts in held.values():
-            yield from flush(parts)
+            yield flush(parts)
 
-    names = ["block", "dim", "level", "at", "row", "vec_id", "vector"]
     return stored(quantised.mapInArrow(index, _INDEX), "impacts")
 
 
@@ -181,22 +187,17 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, query_block: int =
 def _search(index: DataFrame, shared, k: int, level_bits: int) -> DataFrame:
     """Each block's best candidates of every query."""
 
-    def match(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        posting = pc.is_valid(table["dim"])
-        lists = table.filter(posting).combine_chunks()
-        rows = table.filter(pc.invert(posting)).sort_by("level").combine_chunks()
-        vectors = _matrix(rows["vector"].combine_chunks())
-        own = rows["row"].to_numpy()
-        ids = rows["vec_id"].fill_null(_NO_ID).to_numpy()
-        at = lists["at"].combine_chunks()
-        ends = np.cumsum(at.value_lengths().to_numpy()).astype(np.int64)
-        segments = (lists["dim"].to_numpy(), lists["level"].to_numpy(),
-                    np.r_[0, ends[:-1]], ends, at.flatten().to_numpy())
+    def find(block: dict[str, np.ndarray], size: int) -> pa.RecordBatch | None:
+        own, ids = block["rows"], block["ids"]
+        vectors = block["vectors"].reshape(-1, size).astype(np.int64)
+        ends = block["ends"]
+        segments = (block["dims"], block["levels"].astype(np.int64), np.r_[0, ends[:-1]], ends,
+                    block["at"])
         n = len(vectors)
         some = np.arange(0, n, max(1, min(32, n // (4 * k + 4))))
         out = []
         for row, query_id, query in shared.value:
-            if len(query) != vectors.shape[1]:
+            if len(query) != size:
                 continue
             # any k other vectors prove a score that the best k reach
             known = _products(vectors[some], query)[own[some] != row]
@@ -207,17 +208,25 @@ def _search(index: DataFrame, shared, k: int, level_bits: int) -> DataFrame:
             left = left[own[left] != row]
             scores = _products(vectors[left], query)
             best = np.lexsort((ids[left], -scores))[:k]
-            out.append((np.full(len(best), row), [query_id] * len(best),
+            out.append((np.full(len(best), row), np.full(len(best), query_id),
                         ids[left[best]], scores[best]))
-        columns = [np.concatenate(x) for x in zip(*out)] if out else [[], [], [], []]
-        vec = np.asarray(columns[2], dtype=np.int64)
-        return pa.table({"query_row": pa.array(columns[0], pa.int64()),
-                         "query_id": pa.array(list(columns[1]), pa.int64()),
-                         "vec_id": pa.array(vec, pa.int64(), mask=vec == _NO_ID),
-                         "score": pa.array(columns[3], pa.int64())})
-
-    return index.groupBy("block").applyInArrow(
-        match, "query_row long, query_id long, vec_id long, score long")
+        if not out:
+            return None
+        rows, asked, vec, scores = (np.concatenate(x) for x in zip(*out))
+        return pa.RecordBatch.from_pydict({
+            "query_row": pa.array(rows), "query_id": pa.array(asked),
+            "vec_id": pa.array(vec, mask=vec == _NO_ID), "score": pa.array(scores)})
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                block = {part: np.frombuffer(batch.column(j + 1)[i].as_py(), dtype=kind)
+                         for j, (part, kind) in enumerate(_PARTS.items())}
+                found = find(block, batch.column(0)[i].as_py())
+                if found is not None:
+                    yield found
+
+    return index.mapInArrow(match, "query_row long, query_id long, vec_id long, score long")
 
 
 def top_k(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
