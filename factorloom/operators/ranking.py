@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from factorloom.session import cut_lineage, small_side
 
 _RANGE, _COUNT, _BEFORE, _ROW = "_range", "_count", "_before", "_row"
-# Buckets that a group's values are cut into.
-BUCKETS = 64
+# A group's values are cut into this many steps of as many buckets, at quantiles that are off by
+# one ACCURACY-th of the rows at most.
+STEP = 8
+ACCURACY = 1000
 
 
 def _outputs(cols: Mapping[str, str] | Sequence[str], suffix: str) -> dict[str, str]:
@@ -69,11 +71,22 @@ def _same(left: str, right: str, columns: Sequence[str]) -> Column:
 
 def _value_ranks(counted: DataFrame, by: Sequence[str], descending: bool) -> DataFrame:
     """Competition ranks of values: ``counted`` (by, _value, _count) with ``_rank``."""
-    cuts = [i / BUCKETS for i in range(1, BUCKETS)]
-    bounds = small_side(counted.groupBy(*by).agg(
-        F.percentile_approx("_value", cuts).alias("_cuts")))
+    cuts = [i / STEP ** 2 for i in range(1, STEP ** 2)]
+    found = counted.groupBy(*by).agg(
+        F.percentile_approx("_value", cuts, F.lit(ACCURACY)).alias("_cuts"))
+    # every STEP-th cut first, then those between two of them
+    bounds = small_side(found.select(
+        *by, F.filter("_cuts", lambda c, i: i % STEP == STEP - 1).alias("_coarse"),
+        F.transform(F.sequence(F.lit(0), F.lit(STEP - 1)), lambda i: F.slice(
+            F.col("_cuts"), i * STEP + 1, F.lit(STEP - 1))).alias("_fine")))
+
+    def passed(bounds_: Column) -> Column:
+        return F.size(F.filter(bounds_, lambda c: F.col("l._value") > c))
+
     bucketed = counted.alias("l").join(bounds.alias("r"), _same("l", "r", by)).select(
-        "l.*", F.size(F.filter("r._cuts", lambda c: F.col("l._value") > c)).alias("_bucket"))
+        "l.*", passed(F.col("r._coarse")).alias("_step"), "r._fine").alias("l").select(
+        *[f"l.{c}" for c in counted.columns],
+        (F.col("_step") * STEP + passed(F.get("_fine", F.col("_step")))).alias("_bucket"))
     way = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
     earlier = W.unboundedPreceding, -1
     starts = bucketed.groupBy(*by, "_bucket").agg(F.sum(_COUNT).alias("_size")).select(
