@@ -22,7 +22,7 @@ HEADLINE = (
     "scan_table", "dedup_latest", "pivot_eav", "json_extract_fields", "join_full_outer_chain",
     "rolling_sum_ttm", "rolling_stddev", "rolling_corr", "rank_cross_section",
     "zscore_partition", "reverse_run_index", "merge_latest", "scd2_delete_new_record",
-    "sync_watermark", "stream_retry_dlq", "run_test_suite", "metrics_anomaly_score",
+    "sync_watermark", "stream_retry_dlq", "event_tumbling_counts", "metrics_anomaly_score",
     "ttm_metrics", "altman_z", "growth", "beta_bab", "qmj_final", "obt_web",
 )
 WARM_UP = ("rank_cross_section", "altman_z")
