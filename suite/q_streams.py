@@ -14,6 +14,8 @@ from suite.inputs import CTX, table
 from suite.registry import query
 
 STREAM_FILES = 2
+# Events of one task, and file, where they get their texts.
+TASK_EVENTS = 5_000
 
 
 def claim_messages(spark, sf_dir):
@@ -120,7 +122,12 @@ def query_events(spark, sf_dir):
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     turn = F.col("event_id") % docs.agg(F.count(F.lit(1))).scalar()
-    rows = table(spark, sf_dir, "events").withColumn("doc_id", turn).join(docs, "doc_id", "left")
+    events = table(spark, sf_dir, "events").withColumn("doc_id", turn)
+    # An event is small and gets a long text: events are dealt before that, to a fixed number of
+    # tasks, which are not merged.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                -(-events.count() // TASK_EVENTS))
+    rows = events.repartition(parts, "doc_id").join(docs, "doc_id", "left")
     failed = "event_type = 'error'"
     return rows.selectExpr(
         "struct(CAST(event_id AS STRING) AS queryId, '/* job */ ' || text AS query,"
@@ -154,7 +161,7 @@ def stream_audit_normalise(spark, sf_dir):
 def stream_audit_sink(spark, sf_dir):
     source, folder, mark = (scratch_path(spark, n) for n in ("events", "audit", "checkpoint"))
     events = query_events(spark, sf_dir)
-    events.repartition(4).write.parquet(source)
+    events.write.parquet(source)
     stream = spark.readStream.schema(events.schema).parquet(source)
     audit.audit_sink(stream, folder, mark, seconds=None).awaitTermination()
     return spark.read.parquet(folder).groupBy("day").agg(

@@ -213,3 +213,23 @@ def test_compaction_takes_news_in_and_may_be_repeated(spark, tmp_path):
         assert newest(claims.fold_log(store, "user", "ts", as_of)) == [
             ("a", 2.0), ("b", 4.0), ("c", 5.0)]
     assert store.read(claims.LOG_NEWS).count() == 0
+
+
+def test_audit_source_is_written_by_as_many_tasks_as_the_session_shuffles_to(
+        spark, tmp_path, monkeypatch):
+    from suite import q_streams
+
+    spark.createDataFrame([(i, f"text {i}") for i in range(60)], "doc_id bigint, text string"
+                          ).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.sql("SELECT id AS event_id, id % 7 AS user_id, 'view' AS event_type, 1.5D AS value,"
+              " TIMESTAMP_NTZ'2024-01-01 10:00:00' AS ts FROM range(600)"
+              ).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(q_streams, "scratch_path", lambda _, name: str(tmp_path / f"x-{name}"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        rows = q_streams.stream_audit_sink(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [(r["n_rows"], r["bytes"]) for r in rows] == [(600, sum(range(600)))]
+    assert len(list((tmp_path / "x-events").glob("*.parquet"))) == 9
