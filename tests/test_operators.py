@@ -472,3 +472,20 @@ def test_company_keys_stay_apart_and_well_formed(spark):
     assert mine == [duckdb.sql(f"SELECT {ticker(str(k))}").fetchall()[0][0] for k in keys]
     assert cleaned.companies(df, inputs.KEY_PATTERN).count() == len(keys)
     assert cleaned.companies(df).count() == 0
+
+
+def test_rolling_moments_read_each_row_once(spark):
+    rows = spark.createDataFrame([("a", t, float(t % 5), 2.0) for t in range(40)]
+                                 + [("b", 1, None, 1.0), (None, 1, 3.0, 1.0)],
+                                 "k string, t int, x double, y double")
+    out = windows.rolling_corr(windows.rolling_stddev(rows, ["k"], "t", {"s": "x"}, 30,
+                                                      {"m": "s"}),
+                               ["k"], "t", "x", "y", 20, "rho", "c")
+    # a window per power of two would cost a row more than the adding up
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+    found = {(r["k"], r["t"]): r for r in out.collect()}
+    assert len(found) == 42
+    assert (found["a", 39]["m"], found["a", 39]["c"], found["a", 39]["rho"]) == (30, 20, None)
+    assert abs(found["a", 39]["s"] ** 2 - 60 / 29) < 1e-12
+    assert (found["b", 1]["m"], found["b", 1]["c"], found["b", 1]["s"]) == (0, 0, None)
+    assert (found[None, 1]["m"], found[None, 1]["s"]) == (1, None)
