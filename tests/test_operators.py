@@ -489,3 +489,37 @@ def test_rolling_moments_read_each_row_once(spark):
     assert abs(found["a", 39]["s"] ** 2 - 60 / 29) < 1e-12
     assert (found["b", 1]["m"], found["b", 1]["c"], found["b", 1]["s"]) == (0, 0, None)
     assert (found[None, 1]["m"], found[None, 1]["s"]) == (1, None)
+
+
+def test_rolling_moments_take_many_entities_at_once(spark):
+    """Entities that end inside, at the end of, or batches after the one they begin in."""
+    sizes = {"a": 3, "b": 1, "c": 8, "d": 2, None: 4, "e": 1}
+    rows = spark.createDataFrame(
+        [(k, t, None if t == 2 else float(t * t % 7), t) for k, n in sizes.items()
+         for t in range(n)], "k string, t int, x double, y int")
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    held = spark.conf.get(conf)
+    try:
+        for size in ("1", "3", "4", "100"):
+            spark.conf.set(conf, size)
+            out = windows.rolling_corr(
+                windows.rolling_stddev(rows, ["k"], "t", {"s": "x"}, 3, {"m": "s"}),
+                ["k"], "t", "x", "y", 4, "rho", "c")
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "MapInArrow" in plan and "FlatMapGroups" not in plan
+            by = W.partitionBy("k").orderBy("t")
+            near, far = by.rowsBetween(-2, 0), by.rowsBetween(-3, 0)
+            plain = rows.select("k", "t", F.stddev_samp("x").over(near).alias("s"),
+                                F.count("x").over(near).alias("m"),
+                                F.corr("x", "y").over(far).alias("rho"),
+                                F.count("x").over(far).alias("c"))
+            wanted = {(r.k, r.t): r for r in plain.collect()}
+            found = {(r.k, r.t): r for r in out.collect()}
+            assert found.keys() == wanted.keys()
+            for key, r in found.items():
+                w = wanted[key]
+                assert (r.m, r.c) == (w.m, w.c)
+                assert (r.s is None) == (w.s is None) and abs((r.s or 0) - (w.s or 0)) < 1e-9
+                assert r.rho is None or abs(r.rho - w.rho) < 1e-9
+    finally:
+        spark.conf.set(conf, held)
