@@ -523,3 +523,22 @@ def test_rolling_moments_take_many_entities_at_once(spark):
                 assert r.rho is None or abs(r.rho - w.rho) < 1e-9
     finally:
         spark.conf.set(conf, held)
+
+
+def test_statement_values_reach_their_row_unwidened(spark, ctx):
+    """No wide row is made before the shuffle that brings a quarter's values together."""
+    at = datetime(2024, 5, 1, tzinfo=timezone.utc)
+    rows = spark.createDataFrame(
+        [("AAA", 2024, 1, "balance_sheet_quarter", i, float(i), at) for i in (2, 4, 101)]
+        + [(None, 2024, 1, "balance_sheet_quarter", 2, 5.0, at)],
+        "ticker string, year int, quarter int, data_type string, indicator_id int, value double,"
+        " bronze_ingested_time timestamp")
+    wide = cleaned.statement_wide(rows, "balance_sheet", ctx)
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    last = plan[:plan.index(exchanges[0])]
+    # partial and final sums stand together behind the last shuffle
+    assert "partial_max" in last and len(exchanges) == 2
+    found = {r.ticker: r for r in wide.collect()}
+    assert len(found) == 2 and found[None].total_assets == 5
+    assert (found["AAA"].total_assets, found["AAA"].total_capital) == (2, 4)
