@@ -91,3 +91,46 @@ def test_a_single_reader_of_quotes_stores_none(spark, tables):
     assert recent.where(F.col("status") == "qualified").count() > 0
     assert _rows(hist) == _rows(factors.momentum_hist(quotes, CTX))
     assert _rows(recent) == _rows(factors.momentum_recent(quotes, CTX))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _by_ticker(df):
+    return _plan(df).count("Exchange hashpartitioning(ticker")
+
+
+@pytest.mark.parametrize("most", [1 << 18, 1])
+def test_company_days_move_to_their_ticker_once(spark, tables, monkeypatch, most):
+    monkeypatch.setattr(inputs, "BROADCAST_ROWS", most)
+    days = inputs.price_days(spark, tables)
+    assert _by_ticker(days) == 1
+    if most > 1:  # what moves are the rows before a company has days
+        above = _plan(days).split("Exchange hashpartitioning(ticker")[0]
+        assert "BroadcastHashJoin [s_nationkey" in above
+    monkeypatch.undo()
+    assert _rows(days) == _rows(inputs.price_days(spark, tables))
+
+
+def test_many_days_are_dealt_over_all_partitions(spark, tables, monkeypatch):
+    assert "REPARTITION_BY_COL" in _plan(inputs.price_days(spark, tables))
+    monkeypatch.setattr(inputs, "TASK_ROWS", 10)
+    days = inputs.price_days(spark, tables)
+    assert "REPARTITION_BY_NUM" in _plan(days)
+    vol = factors.beta_vol(Models(spark, tables).quotes_for_one(), CTX)
+    assert _by_ticker(vol) == 1
+
+
+def test_beta_vol_takes_quotes_where_they_are(spark, tables):
+    held, before = Models(spark, tables), _steps(spark)
+    vol = held.beta_vol()
+    assert _steps(spark) == before
+    assert _by_ticker(vol) == 1
+    assert _rows(vol) == _rows(factors.beta_vol(held.quotes(), CTX))
+
+
+def test_beta_moves_what_it_uses(spark, tables):
+    last = _plan(factors.beta_bab(Models(spark, tables).beta_vol())).split("moments(")[1]
+    assert "vol_stock_1y" in last.split(")")[0]
+    assert "count_trading_days" not in last.split(")")[0]
